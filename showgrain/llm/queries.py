@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showgrain.llm import lookalike
+from showgrain.llm import lookalike, residue
 from showgrain.session import table
 
 #: City feeds: sources without a venue of their own.
@@ -17,12 +17,18 @@ def venue_rows(spark: SparkSession, root: str) -> DataFrame:
     return table(spark, root, "partner_event").filter(~F.coalesce(F.col("source_partner").isin(*CITY_FEEDS), F.lit(False)))
 
 
+def p1_found(spark: SparkSession, root: str) -> DataFrame:
+    partner = table(spark, root, "partner_event").select(F.lit("partner_event").alias("source_table"), F.col("_ord").alias("record_id"), "description")
+    extracted = table(spark, root, "extracted_event").select(F.lit("extracted_event").alias("source_table"), F.col("id").alias("record_id"), "description")
+    return residue.residue(partner.unionByName(extracted))
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return lookalike.alike_pairs(venue_rows(spark, root))
 
 
 def queries() -> dict:
-    return {"p4_found": p4_found}
+    return {"p1_found": p1_found, "p4_found": p4_found}
 
 
 def oracle_sql() -> dict[str, str]:
