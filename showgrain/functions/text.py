@@ -79,14 +79,25 @@ def mixed_script_fold(text: str) -> str:
     """``fold_text`` for words that hold Latin letters; whole words of another script stay."""
     if text.isascii():
         return text
-    table = _fold_table()
-    plain = unicodedata.normalize("NFC", text).translate({k: v for k, v in table.items() if k not in _alike_codes()})
+    plain = unicodedata.normalize("NFC", text).translate(_width_table())
+    if plain.isascii() or not _ALIKE.search(plain):
+        return plain
+    return unicodedata.normalize("NFC", _LETTERS.sub(_latin_word, plain))
 
-    def word(m: re.Match) -> str:
-        w = m[0]
-        return w.translate(table) if re.search("[A-Za-z]", w) or not _own_script(w) else w
 
-    return unicodedata.normalize("NFC", re.sub(r"[^\W\d_]+", word, plain))
+_LETTERS = re.compile(r"[^\W\d_]+")
+_ALIKE = re.compile("[" + "".join(LOOK_ALIKES) + "]")
+_PLAIN_LETTER = re.compile("[A-Za-z]")
+
+
+def _latin_word(m: re.Match) -> str:
+    w = m[0]
+    return w if w.isascii() or not _PLAIN_LETTER.search(w) and _own_script(w) else w.translate(_fold_table())
+
+
+@lru_cache(maxsize=1)
+def _width_table() -> dict[int, str | None]:
+    return {k: v for k, v in _fold_table().items() if k not in _alike_codes()}
 
 
 @lru_cache(maxsize=1)
