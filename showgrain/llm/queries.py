@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showgrain.llm import lookalike, residue
+from showgrain.llm import leakage, lookalike, residue, truncated
 from showgrain.session import table
 
 #: City feeds: sources without a venue of their own.
@@ -27,8 +27,35 @@ def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return lookalike.alike_pairs(venue_rows(spark, root))
 
 
+def p9_found(spark: SparkSession, root: str) -> DataFrame:
+    found = leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_item"))
+    return found.filter("kind = 'exact'").select("doc_id", "item_id").distinct()
+
+
+def p9_reparameterised(spark: SparkSession, root: str) -> DataFrame:
+    """Documents that hold an item only with other numbers, names or units."""
+    found = leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_item"))
+    kinds = found.groupBy("doc_id", "item_id").agg(F.max(F.col("kind") == "exact").alias("exact"))
+    return kinds.filter("not exact").select("doc_id", "item_id")
+
+
+def p10_found(spark: SparkSession, root: str) -> DataFrame:
+    return truncated.truncated(table(spark, root, "documents"))
+
+
+def p10_by_source(spark: SparkSession, root: str) -> DataFrame:
+    return truncated.truncation_by_source(table(spark, root, "documents"))
+
+
 def queries() -> dict:
-    return {"p1_found": p1_found, "p4_found": p4_found}
+    return {
+        "p1_found": p1_found,
+        "p4_found": p4_found,
+        "p9_found": p9_found,
+        "p9_reparameterised": p9_reparameterised,
+        "p10_found": p10_found,
+        "p10_by_source": p10_by_source,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
