@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showgrain.llm import leakage, lookalike, residue, truncated
+from showgrain.llm import leakage, lookalike, names, residue, truncated
 from showgrain.session import table
 
 #: City feeds: sources without a venue of their own.
@@ -23,6 +23,10 @@ def p1_found(spark: SparkSession, root: str) -> DataFrame:
     return residue.residue(partner.unionByName(extracted))
 
 
+def p2_found(spark: SparkSession, root: str) -> DataFrame:
+    return names.variants(table(spark, root, "enriched_partner_event"), table(spark, root, "artist"))
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return lookalike.alike_pairs(venue_rows(spark, root))
 
@@ -50,6 +54,7 @@ def p10_by_source(spark: SparkSession, root: str) -> DataFrame:
 def queries() -> dict:
     return {
         "p1_found": p1_found,
+        "p2_found": p2_found,
         "p4_found": p4_found,
         "p9_found": p9_found,
         "p9_reparameterised": p9_reparameterised,
