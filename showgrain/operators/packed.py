@@ -108,7 +108,8 @@ def undecorated(title: str, known: Known) -> str:
         if not any(a <= m.start() < b for a, b in guarded):
             t = t[: m.start()]
             break
-    return re.sub(r"\s*\([^()]*\)$", "", t).strip()
+    t = re.sub(r"\s*\([^()]*\)$", "", t).strip()
+    return re.sub(r"\s+live!?$", "", t, flags=re.I)
 
 
 def _word_count(piece: str) -> int:
