@@ -1,10 +1,11 @@
 """Variant spellings of names typed by people, linked to the entity they mean.
 
-1. Distinct typed names and the catalogue's names and aliases become sets of q-grams of
-   their tokens (order of tokens does not matter, joined tokens still share most grams).
-2. Prefix-filtered set-similarity join: grams are ordered by global frequency, rarest
-   first; two sets of Jaccard similarity ``OVERLAP`` or more must share a gram within
-   their prefixes, so only prefixes are joined, and the real overlap is taken next.
+1. The distinct tokens of typed names and of the catalogue's names and aliases (also the
+   joined whole of a name) become sets of q-grams.
+2. Prefix-filtered set-similarity join of the two token sets: grams are ordered by
+   frequency, rarest first; two sets of Jaccard similarity ``OVERLAP`` or more must share a
+   gram within their prefixes, so only prefixes are joined, and the real overlap and the
+   edit distance are taken next.  Spellings whose tokens are met become candidates.
 3. Candidates are verified by soft weighted token similarity: tokens pair up by equality,
    typing errors, initials, short forms and abbreviations; rare tokens weigh more.  Two
    words that both stand in the catalogue are different words, not typing errors.
@@ -33,8 +34,9 @@ from showgrain.functions.text import bare, mixed_script_fold
 from showgrain.session import broadcast_if_small, spread, written
 
 Q = 2
-OVERLAP = 0.3  # Jaccard of q-gram sets that a pair must reach
+OVERLAP = 0.2  # Jaccard of the q-gram sets of two tokens that may be one word
 ACCEPT = 0.72  # soft weighted similarity of a link
+NEAREST = 0.06  # by which a token's other readings may be less similar than its best
 MARGIN = 0.04  # by which the best entity leads
 VOCABULARY_BOUND = 500_000  # catalogue tokens whose weights are sent to the tasks
 
@@ -58,7 +60,10 @@ NICKNAMES = {
 
 _KINDS, _STOPS = frozenset(KIND_WORDS), frozenset(STOP_WORDS)
 _NICK = {n: frozenset(s.split()) for n, s in NICKNAMES.items()}
-_FORMAL = {s: n for n in reversed(NICKNAMES) for s in NICKNAMES[n].split() if s not in NICKNAMES}
+_SHORT: dict[str, list[str]] = {}
+for _n, _forms in NICKNAMES.items():
+    for _s in _forms.split():
+        _SHORT.setdefault(_s, []).append(_n)
 _CAMEL = re.compile(r"(?<=[a-zà-ÿ]{2})(?=[A-Z][a-zà-ÿ])")
 _TOKEN = re.compile(r"[^\W_]+")
 
@@ -68,15 +73,6 @@ def tokens(name: str) -> list[str]:
     return _TOKEN.findall(bare(_CAMEL.sub(" ", mixed_script_fold(name))))
 
 
-def grams(toks: list[str]) -> list[str]:
-    """Distinct q-grams of the tokens that carry weight (all where none does); short given names count as the full one."""
-    held = [_FORMAL.get(t, t) for t in toks if t not in _STOPS] or toks
-    out = set()
-    for t in held:
-        out.update(t[i : i + Q] for i in range(max(1, len(t) - Q + 1)))
-    return sorted(out)
-
-
 @lru_cache(maxsize=200_000)
 def damerau(a: str, b: str, most: int = 3) -> int:
     """Edits (insert, delete, replace, swap of neighbours) between two words, ``most`` at most."""
@@ -192,45 +188,106 @@ def _parted(toks: list[str], vocabulary) -> tuple[list[str], list[str]]:
     return core, kinds
 
 
-def _gram_rows(column: str):
+def _token_rows(column: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            toks = [tokens(x) for x in b[column]]
-            yield b.assign(toks=toks, grams=[grams(t) for t in toks])
+            yield b.assign(toks=[tokens(x) for x in b[column]])
 
     return run
 
 
-def _with_grams(df: DataFrame, column: str) -> DataFrame:
-    array = T.ArrayType(T.StringType())
-    return df.mapInPandas(_gram_rows(column), T.StructType([*df.schema.fields, T.StructField("toks", array), T.StructField("grams", array)]))
+def _with_tokens(df: DataFrame, column: str) -> DataFrame:
+    return df.mapInPandas(_token_rows(column), T.StructType([*df.schema.fields, T.StructField("toks", T.ArrayType(T.StringType()))]))
+
+
+def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The tokens that can tell a spelling: all but stop and kind words, and the joined whole."""
+    for b in batches:
+        s, k, n = [], [], []
+        for spelling, toks in zip(b.spelling, b.toks, strict=True):
+            core = [t for t in toks if t not in _STOPS and t not in _KINDS] or list(toks)
+            keys = set(core)
+            if 1 < len(core) <= 4:
+                keys |= {"".join(core), "".join(core[::-1])}
+            s += [spelling] * len(keys)
+            k += sorted(keys)
+            n += [len(core) if x in core else 0 for x in sorted(keys)]
+        yield pd.DataFrame({"spelling": s, "real": k, "n_core": pd.Series(n, dtype="int32")})
+
 
+def _gram_set(token: str) -> list[str]:
+    t = f"^{token}$"
+    return sorted({t[i : i + Q] for i in range(len(t) - Q + 1)})
 
-def _prefixed(df: DataFrame, order: DataFrame, key: str) -> DataFrame:
-    """One row per prefix gram of each set, rarest grams first."""
-    long = df.select(key, F.size("grams").alias("size"), F.explode("grams").alias("gram")).join(order, "gram", "left")
-    sets = long.groupBy(key, "size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), "gram"))).alias("g"))
+
+def _gram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        yield b.assign(grams=[_gram_set(t) for t in b.token])
+
+
+def _prefixed(df: DataFrame, order: DataFrame) -> DataFrame:
+    """One row per prefix gram of each token's set, rarest grams first."""
+    long = df.select("token", F.size("grams").alias("size"), F.explode("grams").alias("gram")).join(order, "gram", "left")
+    sets = long.groupBy("token", "size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), "gram"))).alias("g"))
     length = (F.col("size") - F.ceil(F.col("size") * OVERLAP) + 1).cast("int")
-    return sets.select(key, "size", F.explode(F.slice("g", 1, length)).alias("x")).select(key, "size", "x.gram")
+    return sets.select("token", "size", F.explode(F.slice("g", 1, length)).alias("x")).select("token", "size", "x.gram")
 
 
-def candidates(typed: DataFrame, known: DataFrame) -> DataFrame:
-    """Pairs (``name``, ``spelling``) whose q-gram sets have Jaccard ``OVERLAP`` or more.
+def _verify_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    never = lambda _: False
+    for b in batches:
+        out = b.assign(sim=[token_similarity(t, r, never) if len(r) < 12 else float(damerau(t, r) <= 2) for t, r in zip(b.token, b.real, strict=True)])
+        yield out[out.sim > 0]
+
+
+def _full_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Given names a short form may stand for, and the short forms of a given name."""
+    for b in batches:
+        pairs = [(t, n) for t in b.token for n in _SHORT.get(t, ())] + [(t, s) for t in b.token for s in sorted(_NICK.get(t, ()))]
+        yield pd.DataFrame(pairs, columns=["token", "real"]).assign(sim=0.95)
+
+
+def similar_tokens(typed: DataFrame, real: DataFrame) -> DataFrame:
+    """Pairs (``token``, ``real``, ``sim``) of typed and catalogue tokens that may be one word.
 
-    typed: ``name``, ``toks``, ``grams``; known: ``spelling``, ``toks``, ``grams``; both distinct.
+    A prefix-filtered similarity join on the tokens' q-gram sets (Jaccard ``OVERLAP``), equal
+    tokens and short given names; both inputs hold distinct tokens.
     """
-    order = known.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("freq"))
-    order = broadcast_if_small(written(order, "gram-order"))
-    a = _prefixed(typed, order, "name").withColumnRenamed("size", "sa")
-    b = _prefixed(known, order, "spelling").withColumnRenamed("size", "sb")
-    sized = (F.col("sb") >= F.col("sa") * OVERLAP) & (F.col("sa") >= F.col("sb") * OVERLAP)
-    b = broadcast_if_small(b, 400_000)
-    pairs = a.join(b, "gram").filter(sized).select("name", "spelling").distinct()
-    k = known.select("spelling", F.col("toks").alias("real_toks"), F.col("grams").alias("real_grams"))
-    pairs = pairs.join(broadcast_if_small(k), "spelling").join(typed.select("name", "toks", "grams"), "name")
+    equal = typed.join(broadcast_if_small(real.select(F.col("token").alias("real"))), F.col("token") == F.col("real")).select("token", "real", F.lit(1.0).alias("sim"))
+    short = typed.mapInPandas(_full_forms, "token string, real string, sim double").join(broadcast_if_small(real.select(F.col("token").alias("real"))), "real", "left_semi").select("token", "real", "sim")
+    grams = "token string, grams array<string>"
+    a = typed.filter(F.length("token") > 1).join(equal.select("token").distinct(), "token", "left_anti").mapInPandas(_gram_rows, grams)
+    a, b = written(a, "typed-grams"), written(real.filter(F.length("token") > 1).mapInPandas(_gram_rows, grams), "real-grams")
+    order = broadcast_if_small(written(b.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("freq")), "gram-order"))
+    left = _prefixed(a, order).withColumnRenamed("size", "sa")
+    right = broadcast_if_small(_prefixed(b, order).select(F.col("token").alias("real"), F.col("size").alias("sb"), "gram"), 400_000)
+    near = F.abs(F.col("sa") - F.col("sb")) <= 3
+    pairs = left.join(right, "gram").filter(near).select("token", "real").distinct()
+    pairs = pairs.join(a, "token").join(broadcast_if_small(b.select(F.col("token").alias("real"), F.col("grams").alias("real_grams"))), "real")
     shared = F.size(F.array_intersect("grams", "real_grams"))
-    pairs = pairs.filter(shared >= OVERLAP * (F.size("grams") + F.size("real_grams") - shared))
-    return pairs.select("name", "toks", "spelling", "real_toks")
+    pairs = pairs.filter(shared >= OVERLAP * (F.size("grams") + F.size("real_grams") - shared)).select("token", "real")
+    fuzzy = pairs.mapInPandas(_verify_tokens, "token string, real string, sim double")
+    found = equal.unionByName(short).unionByName(fuzzy).groupBy("token", "real").agg(F.max("sim").alias("sim"))
+    # a word is read in its nearest sense: one typing error away beats two
+    found = found.withColumn("top", F.max("sim").over(Window.partitionBy("token")))
+    return found.filter(F.col("sim") >= F.col("top") - NEAREST).drop("top")
+
+
+def candidates(typed: DataFrame, known: DataFrame) -> DataFrame:
+    """Pairs (``name``, ``spelling``) that share enough similar tokens.
+
+    typed: ``name``, ``toks``; known: ``spelling``, ``toks``; both distinct.  Every core token
+    of a spelling must be met, but for one that an initial may stand for.
+    """
+    keys = written(known.mapInPandas(_key_rows, "spelling string, real string, n_core int"), "keys")
+    typed_tokens = typed.select("name", F.explode(F.array_distinct("toks")).alias("token"))
+    has_initial = F.exists("toks", lambda t: F.length(t) == 1)
+    alike = written(similar_tokens(typed_tokens.select("token").distinct(), keys.select(F.col("real").alias("token")).distinct()), "similar-tokens")
+    hits = typed_tokens.join(broadcast_if_small(alike, 200_000), "token").join(broadcast_if_small(keys, 200_000), "real")
+    met = hits.groupBy("name", "spelling").agg(F.max("n_core").alias("n_core"), F.count_distinct("real").alias("n_met"), F.max(F.col("n_core") == 0).alias("joined"))
+    flags = typed.select("name", "toks", has_initial.alias("initial"))
+    met = met.join(flags, "name").filter(F.col("joined") | (F.col("n_met") >= F.col("n_core") - F.when(F.col("initial"), 1).otherwise(0)))
+    return met.select("name", "toks", "spelling").join(broadcast_if_small(known.select("spelling", F.col("toks").alias("real_toks"))), "spelling")
 
 
 def _verify(weights: dict[str, float], unseen: float):
@@ -249,7 +306,7 @@ def token_weights(catalogue: DataFrame) -> tuple[dict[str, float], float]:
     """Inverse document frequency of the tokens of catalogue names, and that of an unseen token."""
     n = catalogue.count()
     df = (
-        _with_grams(catalogue.select("name").filter("name is not null"), "name")
+        _with_tokens(catalogue.select("name").filter("name is not null"), "name")
         .select(F.explode(F.array_distinct("toks")).alias("t")).groupBy("t").count()
     )
     held = df.limit(VOCABULARY_BOUND + 1).collect()
@@ -305,8 +362,8 @@ def variants(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     names = rows.filter("coalesce(trim(extracted_band_name), '') <> ''").select("_ord", F.col("extracted_band_name").alias("name"), "original_title")
     exact = spelled.select(F.col("spelling").alias("name")).distinct()
     open_names = names.join(broadcast_if_small(exact), "name", "left_anti")
-    typed = written(_with_grams(spread(open_names.select("name").distinct()), "name"), "typed")
-    known = written(_with_grams(spelled.select("spelling").distinct(), "spelling"), "known")
+    typed = written(_with_tokens(spread(open_names.select("name").distinct()), "name"), "typed")
+    known = written(_with_tokens(spelled.select("spelling").distinct(), "spelling"), "known")
     weights, unseen = token_weights(catalogue)
     pairs = candidates(typed, known)
     scored = spread(pairs).mapInPandas(_verify(weights, unseen), "name string, spelling string, score double, initial boolean")
