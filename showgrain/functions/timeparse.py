@@ -276,5 +276,13 @@ def parse_instant(text: str | None, zone: str | None, ref: date | None) -> int |
         return None
 
 
-def has_own_year(text: str) -> bool:
-    return bool(re.search(r"\d{4}|\d{1,2}/\d{1,2}/\d{2}", text))
+def find_day(text: str | None, ref: date | None) -> date | None:
+    """The one calendar day a text names, with or without a clock time."""
+    if not text:
+        return None
+    t = " ".join(_INVISIBLE.sub("", unicodedata.normalize("NFKC", text)).split())
+    try:
+        found = _find_date(t, ref)
+    except (ValueError, OverflowError):
+        return None
+    return found[0] if found else None
