@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showgrain.llm import leakage, lookalike, names, residue, truncated
-from showgrain.session import table
+from showgrain.llm import leakage, linkage, lookalike, matching, names, residue, truncated
+from showgrain.operators import timestamps
+from showgrain.session import table, written
 
 #: City feeds: sources without a venue of their own.
 CITY_FEEDS = ("metro_gig_guide", "weekend_planner", "lakeside_listings")
@@ -27,10 +28,39 @@ def p2_found(spark: SparkSession, root: str) -> DataFrame:
     return names.variants(table(spark, root, "enriched_partner_event"), table(spark, root, "artist"))
 
 
+#: Batches that arrive together in the deduplication query: up to this number, and later ones.
+ARRIVALS = (6,)
+
+
+def p3_found(spark: SparkSession, root: str) -> DataFrame:
+    rows = venue_rows(spark, root)
+    starts = written(timestamps.starts(rows, table(spark, root, "venue_event_sources")), "starts")
+    history = linkage.History(spark)
+    history.add(linkage.existing_records(table(spark, root, "existing_event")))
+    batch = F.coalesce("batch_no", F.lit(ARRIVALS[0]))
+    for lo, hi in zip((None, *ARRIVALS), (*ARRIVALS, None), strict=True):
+        arrived = (F.lit(True) if lo is None else batch > lo) & (F.lit(True) if hi is None else batch <= hi)
+        history.add(linkage.partner_records(rows.filter(arrived), starts))
+    return linkage.repeated(history.found())
+
+
 def p4_found(spark: SparkSession, root: str) -> DataFrame:
     return lookalike.alike_pairs(venue_rows(spark, root))
 
 
+def p7_matches(spark: SparkSession, root: str) -> DataFrame:
+    """City-feed rows with the accepted show they describe, a score and a confidence."""
+    feeds = table(spark, root, "partner_event").filter(F.col("source_partner").isin(*CITY_FEEDS))
+    sources = table(spark, root, "venue_event_sources")
+    starts = written(timestamps.starts(feeds, sources), "feed-starts")
+    zones = sources.filter("venue_id is not null").groupBy("venue_id").agg(F.min("timezone").alias("typed")).select("venue_id", timestamps.zone_name("typed").alias("zone"))
+    return matching.match_pairs(feeds, starts, table(spark, root, "existing_event"), table(spark, root, "venue"), zones)
+
+
+def p7_found(spark: SparkSession, root: str) -> DataFrame:
+    return p7_matches(spark, root).select("_ord", "existing_id")
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     found = leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_item"))
     return found.filter("kind = 'exact'").select("doc_id", "item_id").distinct()
@@ -55,7 +85,10 @@ def queries() -> dict:
     return {
         "p1_found": p1_found,
         "p2_found": p2_found,
+        "p3_found": p3_found,
         "p4_found": p4_found,
+        "p7_found": p7_found,
+        "p7_matches": p7_matches,
         "p9_found": p9_found,
         "p9_reparameterised": p9_reparameterised,
         "p10_found": p10_found,
