@@ -8,7 +8,7 @@
 2. Listings meet shows of their candidate venues in the same start slots (within
    ``APART_S``; a bare date means the venue's local day).
 3. A pair's score is the field-weighted Dice similarity of title, venue and address
-   vectors, start and price.
+   vectors and of the start (accepted shows carry no price).
 4. Scores become confidences by calibration: scores of pairs that cannot match (the same
    venue, a start some weeks away) give the distribution of chance, and the share of
    chance at a score is what its confidence lacks.  Both are histograms of ``BINS`` bins,
@@ -34,15 +34,17 @@ from showgrain.llm import shows
 from showgrain.session import broadcast_if_small, written
 
 BITS = 128
-TITLE_BITS = 256
+TITLE_BITS = 512
 RADIUS = 23
 CHUNKS = 12  # RADIUS < 2 * CHUNKS: some chunk differs by one bit at most
 APART_S = 95 * 60
 SLOT_S = 2 * 3600
 BINS = 40
-ACCEPT = 0.5
+RIVAL = 0.1  # by which a venue may be less similar to a name than the name's closest venue
+ACCEPT = 0.6
 CHANCE_DAYS = (21, 24, 35)  # offsets in days at which a venue's shows serve as chance pairs
-FIELD_WEIGHTS = {"title": 0.62, "venue": 0.16, "address": 0.1, "start": 0.08, "price": 0.04}
+FIELD_WEIGHTS = {"title": 0.66, "venue": 0.16, "address": 0.1, "start": 0.08}
+HEAD = 0.97  # what an equal first act counts beside an equal title
 NEAR_LOCAL_S = 86400
 
 
@@ -77,14 +79,23 @@ def _probe_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"venue_name": n, "name_bits": v, "chunk": k})
 
 
-def _bits_of(column: str, out: str, bits: int):
+def _bits_of(column: str):
+    """Bit vectors of the whole title and of its first act."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(**{out: [shows.bit_vector(shows.grams(shows.act_form(t)), bits) for t in b[column]]})
+            whole = [shows.bit_vector(shows.grams(shows.act_form(t)), TITLE_BITS) for t in b[column]]
+            head = [shows.bit_vector(shows.grams(shows.head_form(t)), TITLE_BITS) for t in b[column]]
+            yield pd.DataFrame({column: b[column], f"{column}_bits": whole, f"{column}_head": head})
 
     return run
 
 
+def _titled(df: DataFrame, column: str) -> DataFrame:
+    schema = f"{column} string, {column}_bits array<long>, {column}_head array<long>"
+    return df.select(column).distinct().mapInPandas(_bits_of(column), schema)
+
+
 def _forms_of(cities: frozenset[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -115,7 +126,9 @@ def close_venues(names: DataFrame, venues: DataFrame) -> DataFrame:
     probes = typed.mapInPandas(_forms_of(cities), "venue_name string, form string").mapInPandas(_probe_rows, "venue_name string, name_bits array<long>, chunk string")
     hits = probes.join(broadcast_if_small(written(index, "venue-index")), "chunk").select("venue_name", "venue_id", "name_bits", "known_bits").distinct()
     apart = _count_bits(F.zip_with("name_bits", "known_bits", lambda x, y: x.bitwiseXOR(y)))
-    return hits.filter(apart <= RADIUS).select("venue_name", "venue_id", _dice("name_bits", "known_bits").alias("venue_dice"))
+    near = hits.filter(apart <= RADIUS).select("venue_name", "venue_id", _dice("name_bits", "known_bits").alias("venue_dice"))
+    near = near.withColumn("top", F.max("venue_dice").over(Window.partitionBy("venue_name")))
+    return near.filter(F.col("venue_dice") >= F.col("top") - RIVAL).drop("top")
 
 
 def _street(col: str) -> F.Column:
@@ -124,10 +137,6 @@ def _street(col: str) -> F.Column:
     return F.nullif(F.regexp_extract(c, r"^(\d+\s+[\p{L}]+)", 1), F.lit(""))
 
 
-def _price(col: str) -> F.Column:
-    return F.nullif(F.regexp_extract(col, r"(\d+(?:\.\d+)?)", 1), F.lit(""))
-
-
 def _days(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
         days = []
@@ -147,7 +156,7 @@ def match_pairs(listings: DataFrame, starts: DataFrame, existing: DataFrame, ven
     bare = rows.filter("instant is null").select("_ord", "starts_at", "raw_date_text", F.date_format("fetched_at", "yyyy-MM-dd").alias("seen"))
     days = bare.mapInPandas(_days, "_ord long, day string")
     near = written(close_venues(rows, venues), "close-venues")
-    titled = rows.select("title").distinct().mapInPandas(_bits_of("title", "title_bits", TITLE_BITS), "title string, title_bits array<long>")
+    titled = _titled(rows, "title")
     rows = rows.join(days, "_ord", "left").join(titled, rows["title"].eqNullSafe(titled["title"]), "left").drop(titled["title"])
     place = venues.select(F.col("id").alias("vid"), F.col("address").alias("vaddress")).join(zones, F.col("vid") == F.col("venue_id"), "left").select("vid", "vaddress", F.coalesce("zone", F.lit("America/Chicago")).alias("zone"))
     at = near.join(broadcast_if_small(place), near["venue_id"] == F.col("vid")).drop("vid")
@@ -158,7 +167,7 @@ def match_pairs(listings: DataFrame, starts: DataFrame, existing: DataFrame, ven
         {"lo": F.when(F.col("instant").isNotNull(), F.col("instant") - APART_S).otherwise(day_start), "hi": F.when(F.col("instant").isNotNull(), F.col("instant") + APART_S).otherwise(day_start + NEAR_LOCAL_S - 1)}
     ).filter("lo is not null")
     e = existing.filter("venue_id is not null and starts_at is not null").select(F.col("id").alias("existing_id"), F.col("venue_id").alias("evenue"), F.col("title").alias("etitle"), F.unix_timestamp("starts_at").alias("einstant"))
-    etitled = e.select("etitle").distinct().mapInPandas(_bits_of("etitle", "etitle_bits", TITLE_BITS), "etitle string, etitle_bits array<long>")
+    etitled = _titled(e, "etitle")
     e = written(e.join(etitled, "etitle"), "shows")
     near_rows = written(near_rows, "listings")
     real = _scored(near_rows, e)
@@ -180,11 +189,10 @@ def _scored(rows: DataFrame, e: DataFrame) -> DataFrame:
     p = p.withColumn("apart", F.abs(F.col("einstant") - F.col("instant")))
     street = F.when(_street("address").isNull() | _street("vaddress").isNull(), 0.5).when(_street("address") == _street("vaddress"), 1.0).otherwise(0.0)
     fields = {
-        "title": _dice("title_bits", "etitle_bits"),
+        "title": F.greatest(_dice("title_bits", "etitle_bits"), HEAD * _dice("title_head", "etitle_head")),
         "venue": F.col("venue_dice"),
         "address": street,
         "start": F.coalesce(1 - F.col("apart") / (2 * APART_S), F.lit(0.5)),
-        "price": F.lit(0.5),
     }
     total = sum((F.lit(w) * fields[k] for k, w in FIELD_WEIGHTS.items()), F.lit(0.0))
     return p.select("_ord", "existing_id", total.alias("score"), "apart")

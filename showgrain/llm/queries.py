@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from showgrain.llm import leakage, linkage, lookalike, matching, names, residue, truncated
+from showgrain.llm import leakage, linkage, lookalike, matching, names, packing, residue, truncated
 from showgrain.operators import timestamps
 from showgrain.session import table, written
 
@@ -61,6 +61,11 @@ def p7_found(spark: SparkSession, root: str) -> DataFrame:
     return p7_matches(spark, root).select("_ord", "existing_id")
 
 
+def p8_packed(spark: SparkSession, root: str) -> DataFrame:
+    """The container of every text, or of the pieces of a text that alone exceeds one."""
+    return packing.packed(table(spark, root, "documents"))
+
+
 def p9_found(spark: SparkSession, root: str) -> DataFrame:
     found = leakage.leaks(table(spark, root, "documents"), table(spark, root, "eval_item"))
     return found.filter("kind = 'exact'").select("doc_id", "item_id").distinct()
@@ -89,6 +94,7 @@ def queries() -> dict:
         "p4_found": p4_found,
         "p7_found": p7_found,
         "p7_matches": p7_matches,
+        "p8_packed": p8_packed,
         "p9_found": p9_found,
         "p9_reparameterised": p9_reparameterised,
         "p10_found": p10_found,

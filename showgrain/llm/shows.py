@@ -8,14 +8,14 @@ import xxhash
 from pyspark.sql import functions as F
 
 from showgrain.functions.text import bare, mixed_script_fold
-from showgrain.operators.packed import Known, undecorated
+from showgrain.operators.packed import Known, split_values, undecorated
 
 # --- fixed values -----------------------------------------------------------------
 #: Announcements that listings put before or behind a title.
 ANNOUNCED = "just announced|sold out|new show|new date|added|cancell?ed|postponed|rescheduled|low tickets|final tickets|tickets|on sale now"
 #: What city feeds put around a title.
 FEED_BEFORE = "live|live music|concert|tonight|an evening with|see|event"
-FEED_BEHIND = "in concert|live in concert|on tour|one night only|tickets|live|live music|free|free show|all ages|21\\+|18\\+|solo acoustic"
+FEED_BEHIND = "in concert|live in concert|on tour|one night only|tonight|tickets|live|live music|free|free show|all ages|21\\+|18\\+|solo acoustic"
 #: Query parameters of links that tell where a visitor came from.
 TRACKING = "utm_[a-z]+|fbclid|gclid|msclkid|mc_[a-z]+|ref|aff|affiliate|source|campaign"
 #: Other spellings of kinds of venues.
@@ -27,6 +27,7 @@ _BEHIND = re.compile(rf"(?:\s*[–—-]\s*(?:{ANNOUNCED}|free)|\s*[(\[](?:all ag
 _FEED_BEFORE = re.compile(rf"^(?:(?:{FEED_BEFORE})\s*:\s+|an\s+e\w{{4,8}}\s+w\w{{1,4}}\s+)+", re.I)
 _FEED_BEHIND = re.compile(rf"(?:\s+(?:[–—-]\s*)?(?:in concert|live)|\s*[–—-]\s*(?:{FEED_BEHIND})|\s*[(\[](?:{FEED_BEHIND})[)\]])+$", re.I)
 _NOTHING = Known([])
+_FRIENDS = re.compile(r"\s+(?:(?:and|&|\+|with)\s+(?:friends|guests|more|special guests?)|tonight)$", re.I)
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -52,6 +53,14 @@ def act_form(title: str | None) -> str:
     return " ".join(_WORD.findall(bare(t)))
 
 
+def head_form(title: str | None) -> str:
+    """The first act of a title, which is all that some feeds name."""
+    if not title:
+        return ""
+    acts = split_values(_FEED_BEHIND.sub("", _FEED_BEFORE.sub("", _BEHIND.sub("", _BEFORE.sub("", mixed_script_fold(title).strip())))), _NOTHING, title=True)
+    return act_form(_FRIENDS.sub("", acts[0])) if acts else act_form(title)
+
+
 def venue_form(name: str | None, cities: frozenset[str] = frozenset()) -> str:
     """A venue's name in plain words, without a closing city and with one spelling for its kind."""
     if not name:
