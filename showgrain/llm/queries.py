@@ -103,4 +103,7 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    windows = "SELECT {i}, unnest(list_transform(range(1, len(w) - 10), lambda k: array_to_string(w[k : k + 11], ' '))) AS win FROM (SELECT {i}, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}]+') AS w FROM {t} WHERE text IS NOT NULL) WHERE len(w) >= 12"
+    return {
+        "p9_found": f"WITH d AS ({windows.format(i='doc_id', t='documents')}), e AS ({windows.format(i='item_id', t='eval_item')}) SELECT DISTINCT doc_id, item_id FROM d JOIN e USING (win)",
+    }
