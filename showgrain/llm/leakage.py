@@ -12,7 +12,7 @@ The evaluation side is an index of distinct window hashes.  Up to ``INDEX_BOUND`
 it is broadcast and documents are probed where they are scanned, without any shuffle;
 beyond it, document windows are shuffled by hash and joined, which gives the same rows.
 
-Defined results: null, empty and short texts (under a window) hold nothing; a document
+Defined results: rows without an id take no part; null, empty and short texts (under a window) hold nothing; a document
 that repeats a passage is reported once for an item; an item held twice under two ids is
 reported for both; empty tables give an empty result.
 """
@@ -111,7 +111,8 @@ def relation(doc: list[str], item: list[str], canon: Canon) -> str | None:
 def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``doc_id``, ``item_id`` and ``kind`` of every document that holds a window of an item."""
     spark = docs.sparkSession
-    eval_rows = items.filter("coalesce(trim(text), '') <> ''").select("item_id", "text")
+    eval_rows = items.filter("item_id is not null and coalesce(trim(text), '') <> ''").select("item_id", "text")
+    docs = docs.filter("doc_id is not null").select("doc_id", "text")
     names = _names(eval_rows)
     index = written(eval_rows.mapInPandas(_index_of(names), "h long, item_id long, window string"), "eval-windows")
     distinct = index.distinct()

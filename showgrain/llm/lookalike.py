@@ -65,7 +65,7 @@ def alike_pairs(rows: DataFrame, fields: tuple[str, ...] = ("title", "descriptio
     identifiers and null texts take no part.  Repeated rows with one spelling make no
     pair with each other.
     """
-    listed = rows.filter("source_id is not null and coalesce(trim(source_event_id), '') <> ''")
+    listed = rows.filter("_ord is not null and source_id is not null and coalesce(trim(source_event_id), '') <> ''")
     long = listed.select(
         "_ord",
         "source_id",

@@ -15,7 +15,7 @@
    so a bounded result reaches the driver.
 5. Each listing keeps its best show, if the confidence reaches ``ACCEPT``.
 
-Defined results: null or empty venues and titles, and starts that tell no day, match
+Defined results: rows without an id take no part; null or empty venues and titles, and starts that tell no day, match
 nothing; repeated listings match each; ties take the nearer start, then the smaller id;
 empty tables give an empty result.
 """
@@ -152,7 +152,7 @@ def match_pairs(listings: DataFrame, starts: DataFrame, existing: DataFrame, ven
 
     listings: rows of the feeds; starts: ``_ord``, ``instant``; zones: ``venue_id``, ``zone``.
     """
-    rows = listings.select("_ord", "title", "venue_name", "address", "price_text", "starts_at", "raw_date_text", "fetched_at").join(starts.select("_ord", "instant"), "_ord", "left")
+    rows = listings.filter("_ord is not null").select("_ord", "title", "venue_name", "address", "price_text", "starts_at", "raw_date_text", "fetched_at").join(starts.select("_ord", "instant"), "_ord", "left")
     bare = rows.filter("instant is null").select("_ord", "starts_at", "raw_date_text", F.date_format("fetched_at", "yyyy-MM-dd").alias("seen"))
     days = bare.mapInPandas(_days, "_ord long, day string")
     near = written(close_venues(rows, venues), "close-venues")
@@ -166,7 +166,7 @@ def match_pairs(listings: DataFrame, starts: DataFrame, existing: DataFrame, ven
     near_rows = near_rows.withColumns(
         {"lo": F.when(F.col("instant").isNotNull(), F.col("instant") - APART_S).otherwise(day_start), "hi": F.when(F.col("instant").isNotNull(), F.col("instant") + APART_S).otherwise(day_start + NEAR_LOCAL_S - 1)}
     ).filter("lo is not null")
-    e = existing.filter("venue_id is not null and starts_at is not null").select(F.col("id").alias("existing_id"), F.col("venue_id").alias("evenue"), F.col("title").alias("etitle"), F.unix_timestamp("starts_at").alias("einstant"))
+    e = existing.filter("id is not null and venue_id is not null and starts_at is not null").select(F.col("id").alias("existing_id"), F.col("venue_id").alias("evenue"), F.col("title").alias("etitle"), F.unix_timestamp("starts_at").alias("einstant"))
     etitled = _titled(e, "etitle")
     e = written(e.join(etitled, "etitle"), "shows")
     near_rows = written(near_rows, "listings")

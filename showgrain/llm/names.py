@@ -12,7 +12,7 @@
 4. A name is linked when one entity stands out; where several do (an initial), the title
    the name was read from decides, otherwise nothing is linked.
 
-Defined results: null, empty and blank names give nothing; repeated rows are linked each;
+Defined results: rows without an id take no part; null, empty and blank names give nothing; repeated rows are linked each;
 a name equal to a catalogue spelling is left out of ``variants``; ties between entities
 give no link; an empty table gives an empty result.
 """
@@ -359,7 +359,7 @@ def variants(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
         .distinct()
     )
     spelled = written(spelled, "spellings")
-    names = rows.filter("coalesce(trim(extracted_band_name), '') <> ''").select("_ord", F.col("extracted_band_name").alias("name"), "original_title")
+    names = rows.filter("_ord is not null and coalesce(trim(extracted_band_name), '') <> ''").select("_ord", F.col("extracted_band_name").alias("name"), "original_title")
     exact = spelled.select(F.col("spelling").alias("name")).distinct()
     open_names = names.join(broadcast_if_small(exact), "name", "left_anti")
     typed = written(_with_tokens(spread(open_names.select("name").distinct()), "name"), "typed")

@@ -12,7 +12,7 @@ container starts with the largest open item and is completed by an undominated f
 cut when the waste so far exceeds what a better solution could afford.  The search ends at
 the bound or after ``NODES`` nodes; the incumbent always holds every item.
 
-Defined results: null and empty texts have no tokens and ride in the group's first
+Defined results: rows without an id take no part; null and empty texts have no tokens and ride in the group's first
 container; ties are packed in order of ``doc_id``; repeated rows are packed each; an empty
 table gives an empty result.
 """
@@ -57,7 +57,7 @@ def count_tokens(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
         for b in batches:
             yield pd.DataFrame({"doc_id": b.doc_id, "n_tokens": [len(enc.encode_ordinary(t)) if t else 0 for t in b.text]})
 
-    return spread(docs.select("doc_id", "text")).mapInPandas(run, "doc_id long, n_tokens long")
+    return spread(docs.filter("doc_id is not null").select("doc_id", "text")).mapInPandas(run, "doc_id long, n_tokens long")
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:

@@ -114,7 +114,7 @@ def judged(docs: DataFrame) -> DataFrame:
         F.max(F.when(F.col("unit") == "bytes", F.col("at"))).alias("_max_b"),
     )
     found = broadcast_if_small(found.withColumnRenamed("source", "_s"))
-    d = _parts(docs.select("doc_id", "source", "text"))
+    d = _parts(docs.filter("doc_id is not null").select("doc_id", "source", "text"))
     d = d.join(found, d["source"].eqNullSafe(found["_s"]), "left")
     at_limit = F.coalesce(F.col("n_chars_") == F.col("_max_c"), F.lit(False)) | F.coalesce(F.col("n_bytes_").between(F.col("_max_b") - 3, F.col("_max_b")), F.lit(False))
     whole_sentence = F.col("_rest_end").rlike(TERMINAL) | F.col("_rest_end").rlike(CLOSED)
