@@ -40,8 +40,10 @@ def decode_entities(c: Column | str) -> Column:
             c = F.replace(c, F.lit(name), F.lit(plain))
         # numeric entities: cut at '&#', decode the number that opens each later piece
         parts = F.split(c, "&#")
+        number = lambda p: F.regexp_extract(p, r"^([0-9]{1,6});", 1).try_cast("bigint")
+        letter = lambda p: F.decode(F.unhex(F.lpad(F.hex(number(p)), 8, "0")), "UTF-32")
         piece = lambda p: F.when(
-            p.rlike(r"^[0-9]{1,6};"), F.concat(F.char(F.regexp_extract(p, r"^([0-9]{1,6});", 1).cast("bigint")), F.regexp_replace(p, r"^[0-9]{1,6};", ""))
+            number(p).between(1, 0xD7FF) | number(p).between(0xE000, 999_999), F.concat(letter(p), F.regexp_replace(p, r"^[0-9]{1,6};", ""))
         ).otherwise(F.concat(F.lit("&#"), p))
         c = F.when(F.contains(c, F.lit("&#")), F.concat(F.element_at(parts, 1), F.array_join(F.transform(F.slice(parts, 2, 1 << 20), piece), ""))).otherwise(c)
     return collapse(F.translate(c, CURLY, STRAIGHT))

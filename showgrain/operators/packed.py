@@ -11,7 +11,7 @@ words is cheap, a single word dear, and pieces may be rejoined over weak delimit
 Up to ``DICTIONARY_BOUND`` such values one automaton is broadcast.  Beyond it each row is
 joined with just the values whose first word it holds, which protects the same signs.
 
-Defined results: null and empty texts give no row; empty entries and closing words ("and
+Defined results: rows without an id take no part; null and empty texts give no row; empty entries and closing words ("and
 more") are no values; a repeated value keeps each of its positions; very long texts are
 split whole; an empty dictionary protects nothing.
 """
@@ -192,7 +192,7 @@ def unpack(rows: DataFrame, values: DataFrame, bound: int = DICTIONARY_BOUND) ->
     Result: ``source_table``, ``record_id``, ``item_pos`` from 1, ``item_value``.
     """
     schema = "source_table string, record_id long, item_pos int, item_value string"
-    held = rows.filter("coalesce(trim(text), '') <> ''").select("source_table", "record_id", "text", "is_title")
+    held = rows.filter("record_id is not null and coalesce(trim(text), '') <> ''").select("source_table", "record_id", "text", "is_title")
     guard = dictionary(values)
     if guard.limit(bound + 1).count() <= bound:
         shared = rows.sparkSession.sparkContext.broadcast(sorted(r.value for r in guard.collect()))

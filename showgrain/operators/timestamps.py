@@ -123,7 +123,8 @@ def starts(
     repeated rows give repeated results; an empty table gives an empty one.
     """
     dictionary = dictionary or TimestampDictionary(rows.sparkSession)
-    base = zoned(rows.select("_ord", "source_id", "starts_at", "raw_date_text", "fetched_at"), sources)
+    held = rows.filter("_ord is not null").select("_ord", "source_id", "starts_at", "raw_date_text", "fetched_at")
+    base = zoned(held, sources)
     is_canonical = F.coalesce(F.col("starts_at").rlike(CANONICAL), F.lit(False))
     direct = F.try_to_timestamp(F.substring("starts_at", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss"))
     keyed = base.select(

@@ -16,7 +16,7 @@ def _property(block: Column, name: str) -> Column:
 def _text(c: Column) -> Column:
     r"""\n, \, and \; unescaped, then \\."""
     c = F.regexp_replace(c, r"\\[nN]", "\n")
-    c = F.replace(F.replace(c, F.lit("\\,"), F.lit(",")), F.lit("\;"), F.lit(";"))
+    c = F.replace(F.replace(c, F.lit("\\,"), F.lit(",")), F.lit("\\;"), F.lit(";"))
     return F.replace(c, F.lit("\\\\"), F.lit("\\"))
 
 
