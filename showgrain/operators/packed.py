@@ -26,6 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from showgrain.functions.frames import frame
 from showgrain.functions.text import mixed_script_fold
 
 DICTIONARY_BOUND = 200_000
@@ -213,7 +214,7 @@ def _emit(b: pd.DataFrame, lists: Iterator[list[str]]) -> pd.DataFrame:
             r += [rid] * len(items)
             p += range(1, len(items) + 1)
             v += items
-    return pd.DataFrame({"source_table": t, "record_id": pd.Series(r, dtype="int64"), "item_pos": pd.Series(p, dtype="int32"), "item_value": v})
+    return frame({"source_table": t, "record_id": r, "item_pos": p, "item_value": v})
 
 
 def _split_with(shared):
