@@ -28,6 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from showgrain.functions.frames import frame
 from showgrain.session import spread, written
 
 WINDOW = 12
@@ -65,42 +66,49 @@ class Canon:
     def __init__(self, names: frozenset[str]):
         self.names, self.codes = names, {}
 
-    def kind(self, w: str) -> str | None:
+    def kind(self, w: str, more: frozenset[str] = frozenset()) -> str | None:
         if w.isdigit():
             return "<number>"
         if w in UNITS:
             return "<unit>"
         if w in CALENDAR:
             return "<date>"
-        return "<name>" if w in self.names else None
+        return "<name>" if w in self.names or w in more else None
 
     def code(self, w: str) -> int:
         c = self.codes.get(w)
         if c is None:
             if len(self.codes) > 500_000:
                 self.codes.clear()
-            c = self.codes[w] = xxhash.xxh64_intdigest(self.kind(w) or w)
+            c = self.codes[w] = xxhash.xxh64_intdigest("<name>" if w == "\x00" else self.kind(w) or w)
         return c
 
-    def windows(self, ws: list[str]) -> np.ndarray:
-        """Template hash of each window of ``WINDOW`` words."""
+    def windows(self, ws: list[str], more: frozenset[str] = frozenset()) -> np.ndarray:
+        """Template hash of each window of ``WINDOW`` words; words in ``more`` count as names too."""
         n = len(ws) - WINDOW + 1
         if n <= 0:
             return np.empty(0, dtype=np.uint64)
-        a = np.fromiter(map(self.code, ws), dtype=np.uint64, count=len(ws))
+        coded = map(self.code, ("\x00" if w in more and self.kind(w) is None else w for w in ws)) if more else map(self.code, ws)
+        a = np.fromiter(coded, dtype=np.uint64, count=len(ws))
         h = np.zeros(n, dtype=np.uint64)
         for i in range(WINDOW):
             h = h * np.uint64(_BASE) + a[i : i + n]
         return h
 
 
-def relation(doc: list[str], item: list[str], canon: Canon) -> str | None:
+def readings(text: str, canon: Canon, loose: bool) -> list[frozenset[str]]:
+    """Further names to read a document with: none, and for loose reading those it writes with capitals."""
+    own = names_of([text]) - canon.names if loose and text else frozenset()
+    return [frozenset(), own] if own else [frozenset()]
+
+
+def relation(doc: list[str], item: list[str], canon: Canon, more: frozenset[str] = frozenset()) -> str | None:
     """How two windows of one template agree: 'exact', 'reparameterised' or not at all."""
     if doc == item:
         return "exact"
     there, back = {}, {}
     for d, e in zip(doc, item, strict=True):
-        kd, ke = canon.kind(d), canon.kind(e)
+        kd, ke = canon.kind(d, more), canon.kind(e)
         if kd != ke or (kd is None and d != e):
             return None
         if there.setdefault(e, d) != d or back.setdefault(d, e) != e:
@@ -108,8 +116,12 @@ def relation(doc: list[str], item: list[str], canon: Canon) -> str | None:
     return "reparameterised"
 
 
-def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """``doc_id``, ``item_id`` and ``kind`` of every document that holds a window of an item."""
+def leaks(docs: DataFrame, items: DataFrame, loose: bool = False) -> DataFrame:
+    """``doc_id``, ``item_id`` and ``kind`` of every document that holds a window of an item.
+
+    loose: read documents a second time with the names of their own as placeholders, which
+    finds copies about other people and places; exact hits are the same either way.
+    """
     spark = docs.sparkSession
     eval_rows = items.filter("item_id is not null and coalesce(trim(text), '') <> ''").select("item_id", "text")
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
@@ -119,9 +131,9 @@ def leaks(docs: DataFrame, items: DataFrame) -> DataFrame:
     if distinct.limit(INDEX_BOUND + 1).count() <= INDEX_BOUND:
         held = distinct.toPandas()
         shared = spark.sparkContext.broadcast((held.h.to_numpy(), held.item_id.to_numpy(), held.window.tolist()))
-        pairs = spread(docs.select("doc_id", "text")).mapInPandas(_probe(names, shared), "doc_id long, item_id long, kind string")
+        pairs = spread(docs.select("doc_id", "text")).mapInPandas(_probe(names, shared, loose), "doc_id long, item_id long, kind string")
     else:
-        slid = docs.select("doc_id", "text").mapInPandas(_slide(names), "doc_id long, h long, window string")
+        slid = docs.select("doc_id", "text").mapInPandas(_slide(names, loose), "doc_id long, h long, window string, own string")
         salted = distinct.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(7))))
         hit = slid.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(8)).cast("int")).join(salted.withColumnRenamed("window", "item_window"), ["h", "salt"])
         pairs = hit.mapInPandas(_relate(names), "doc_id long, item_id long, kind string")
@@ -133,7 +145,7 @@ def _names(eval_rows: DataFrame) -> frozenset[str]:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield pd.DataFrame({"name": sorted(names_of(b.text.tolist()))})
+            yield frame({"name": sorted(names_of(b.text.tolist()))})
 
     found = eval_rows.mapInPandas(run, "name string").distinct().limit(INDEX_BOUND)
     return frozenset(r.name for r in found.orderBy("name").collect())
@@ -148,12 +160,12 @@ def _index_of(names: frozenset[str]):
                 ws = words(text)
                 for k, x in enumerate(canon.windows(ws).view(np.int64).tolist()):
                     h.append(x), i.append(item), w.append(" ".join(ws[k : k + WINDOW]))
-            yield pd.DataFrame({"h": pd.Series(h, dtype="int64"), "item_id": pd.Series(i, dtype="int64"), "window": pd.Series(w, dtype="object")})
+            yield frame({"h": h, "item_id": i, "window": w})
 
     return run
 
 
-def _probe(names: frozenset[str], shared):
+def _probe(names: frozenset[str], shared, loose: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canon = Canon(names)
         hs, ids, windows = shared.value
@@ -163,32 +175,37 @@ def _probe(names: frozenset[str], shared):
             out = set()
             for doc, text in zip(b.doc_id, b.text, strict=True):
                 ws = words(text)
-                found = canon.windows(ws).view(np.int64)
-                if not len(found) or not len(keys):
-                    continue
-                lo = np.searchsorted(keys, found, "left")
-                for k in np.flatnonzero((lo < len(keys)) & (keys[np.minimum(lo, len(keys) - 1)] == found)).tolist():
-                    here, at = ws[k : k + WINDOW], lo[k]
-                    while at < len(keys) and keys[at] == found[k]:
-                        j = order[at]
-                        kind = relation(here, windows[j].split(" "), canon)
-                        if kind:
-                            out.add((doc, int(ids[j]), kind))
-                        at += 1
+                for more in readings(text, canon, loose):
+                    found = canon.windows(ws, more).view(np.int64)
+                    if not len(found) or not len(keys):
+                        continue
+                    lo = np.searchsorted(keys, found, "left")
+                    for k in np.flatnonzero((lo < len(keys)) & (keys[np.minimum(lo, len(keys) - 1)] == found)).tolist():
+                        here, at = ws[k : k + WINDOW], lo[k]
+                        while at < len(keys) and keys[at] == found[k]:
+                            j = order[at]
+                            kind = relation(here, windows[j].split(" "), canon, more)
+                            if kind:
+                                out.add((doc, int(ids[j]), kind))
+                            at += 1
             yield pd.DataFrame(sorted(out), columns=["doc_id", "item_id", "kind"]).astype({"doc_id": "int64", "item_id": "int64"})
 
     return run
 
 
-def _slide(names: frozenset[str]):
+def _slide(names: frozenset[str], loose: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canon = Canon(names)
         for b in batches:
             for doc, text in zip(b.doc_id, b.text, strict=True):
                 ws = words(text)
-                h = canon.windows(ws).view(np.int64)
-                if len(h):
-                    yield pd.DataFrame({"doc_id": np.full(len(h), doc, dtype="int64"), "h": h, "window": [" ".join(ws[k : k + WINDOW]) for k in range(len(h))]})
+                for more in readings(text, canon, loose):
+                    h = canon.windows(ws, more).view(np.int64).tolist()
+                    shown = [" ".join(ws[k : k + WINDOW]) for k in range(len(h))]
+                    # of the document's own names only those in the window travel with it
+                    own = [" ".join(w for w in ws[k : k + WINDOW] if w in more) for k in range(len(h))] if more else [""] * len(h)
+                    if h:
+                        yield frame({"doc_id": [doc] * len(h), "h": h, "window": shown, "own": own})
 
     return run
 
@@ -197,7 +214,7 @@ def _relate(names: frozenset[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         canon = Canon(names)
         for b in batches:
-            kinds = [relation(d.split(" "), e.split(" "), canon) for d, e in zip(b.window, b.item_window, strict=True)]
+            kinds = [relation(d.split(" "), e.split(" "), canon, frozenset(o.split())) for d, e, o in zip(b.window, b.item_window, b.own, strict=True)]
             yield b.assign(kind=kinds).dropna(subset=["kind"])[["doc_id", "item_id", "kind"]]
 
     return run

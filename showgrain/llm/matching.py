@@ -29,6 +29,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from showgrain.functions.frames import frame
 from showgrain.functions.timeparse import find_day
 from showgrain.llm import shows
 from showgrain.session import broadcast_if_small, written
@@ -65,7 +66,7 @@ def _index_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             vec = shows.bit_vector(shows.grams(form), BITS)
             for c, bits, _ in _chunks(vec):
                 i.append(vid), v.append(vec), k.append(f"{c}:{bits}")
-        yield pd.DataFrame({"venue_id": i, "known_bits": v, "chunk": k})
+        yield frame({"venue_id": i, "known_bits": v, "chunk": k})
 
 
 def _probe_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -76,7 +77,7 @@ def _probe_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for c, bits, width in _chunks(vec):
                 for x in (bits, *(bits ^ (1 << j) for j in range(width))):
                     n.append(name), v.append(vec), k.append(f"{c}:{x}")
-        yield pd.DataFrame({"venue_name": n, "name_bits": v, "chunk": k})
+        yield frame({"venue_name": n, "name_bits": v, "chunk": k})
 
 
 def _bits_of(column: str):
@@ -86,7 +87,7 @@ def _bits_of(column: str):
         for b in batches:
             whole = [shows.bit_vector(shows.grams(shows.act_form(t)), TITLE_BITS) for t in b[column]]
             head = [shows.bit_vector(shows.grams(shows.head_form(t)), TITLE_BITS) for t in b[column]]
-            yield pd.DataFrame({column: b[column], f"{column}_bits": whole, f"{column}_head": head})
+            yield frame({column: b[column], f"{column}_bits": whole, f"{column}_head": head})
 
     return run
 
@@ -144,7 +145,7 @@ def _days(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             ref = date.fromisoformat(seen) if seen else None
             d = find_day(text, ref) or find_day(raw, ref)
             days.append(d.isoformat() if d else None)
-        yield pd.DataFrame({"_ord": b._ord, "day": days})
+        yield frame({"_ord": b._ord, "day": days})
 
 
 def match_pairs(listings: DataFrame, starts: DataFrame, existing: DataFrame, venues: DataFrame, zones: DataFrame) -> DataFrame:

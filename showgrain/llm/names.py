@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from showgrain.functions.frames import frame
 from showgrain.functions.text import bare, mixed_script_fold
 from showgrain.session import broadcast_if_small, spread, written
 
@@ -212,7 +213,7 @@ def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             s += [spelling] * len(keys)
             k += sorted(keys)
             n += [len(core) if x in core else 0 for x in sorted(keys)]
-        yield pd.DataFrame({"spelling": s, "real": k, "n_core": pd.Series(n, dtype="int32")})
+        yield frame({"spelling": s, "real": k, "n_core": n})
 
 
 def _gram_set(token: str) -> list[str]:

@@ -28,6 +28,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from showgrain.functions.frames import frame
 from showgrain.session import spread, written
 
 TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -55,7 +56,7 @@ def count_tokens(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         enc = encoder(path)
         for b in batches:
-            yield pd.DataFrame({"doc_id": b.doc_id, "n_tokens": [len(enc.encode_ordinary(t)) if t else 0 for t in b.text]})
+            yield frame({"doc_id": b.doc_id, "n_tokens": [len(enc.encode_ordinary(t)) if t else 0 for t in b.text]})
 
     return spread(docs.filter("doc_id is not null").select("doc_id", "text")).mapInPandas(run, "doc_id long, n_tokens long")
 

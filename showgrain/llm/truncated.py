@@ -31,6 +31,8 @@ MARKER_WINDOW = 80  # characters at the end in which a marker or a broken charac
 # --- fixed values -----------------------------------------------------------------
 #: Links that are put behind a cut.
 MORE_WORDS = "continue reading|keep reading|read more|see more|view more|show more|learn more|more|mehr lesen|weiterlesen|mehr|leer más|seguir leyendo|ver más|más"
+#: Of those, the ones that stand alone behind a sentence.
+LINK_WORDS = "continue reading|keep reading|read more|see more|view more|show more|learn more|mehr lesen|weiterlesen|leer más|seguir leyendo|ver más"
 #: Labels of finished lines.
 LABELS = r"line-?up|info|tickets?|tickets and directions|directions|seats left|doors|show|admission|set times|photo|image|credits?|contact|address|where|when|parking|tags?|ages?|price|phone|email|web(?:site)?|source|hosts?|with|support|cast|besetzung|einlass|beginn|karten|eintritt|adresse|ort|entradas|puertas|lugar|precio|dirección"
 #: Openings of sign-offs and credits.
@@ -39,7 +41,7 @@ CREDITS = "presented by|sponsored by|photo by|photos by|supported by|brought to
 # ----------------------------------------------------------------------------------
 
 MARKER = (
-    r"(?i)(?:\s*(?:…|\.{3,})(?:\s*(?:" + MORE_WORDS + r")\s*[»>→]*)?|\s*[\[(]\s*(?:…|\.{3,}|(?:…|\.{3,})?\s*(?:" + MORE_WORDS + r")\s*(?:…|\.{3,})?)\s*[\])])+\s*\z"
+    r"(?i)(?:(?<=[.!?…])\s*(?:" + LINK_WORDS + r")\s*(?:…|\.{3,})?|\s*(?:…|\.{3,})(?:\s*(?:" + MORE_WORDS + r")\s*[»>→]*)?|\s*[\[(]\s*(?:…|\.{3,}|(?:…|\.{3,})?\s*(?:" + MORE_WORDS + r")\s*(?:…|\.{3,})?)\s*[\])])+\s*\z"
 )
 BROKEN = r"(?:�+|&(?:#x?[0-9a-fA-F]{0,6}|[a-zA-Z]{0,8})|</?[a-zA-Z][^<>]*|</?)\z"
 TERMINAL = r"[.!?。！？؟][\"'”’»)\]*_]*\z"
