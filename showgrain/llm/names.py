@@ -204,8 +204,8 @@ def _with_tokens(df: DataFrame, column: str) -> DataFrame:
 def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """The tokens that can tell a spelling: all but stop and kind words, and the joined whole."""
     for b in batches:
-        s, k, n = [], [], []
-        for spelling, toks in zip(b.spelling, b.toks, strict=True):
+        s, k, n, trust = [], [], [], []
+        for spelling, toks, trusted in zip(b.spelling, b.toks, b.trusted, strict=True):
             core = [t for t in toks if t not in _STOPS and t not in _KINDS] or list(toks)
             keys = set(core)
             if 1 < len(core) <= 4:
@@ -213,7 +213,8 @@ def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             s += [spelling] * len(keys)
             k += sorted(keys)
             n += [len(core) if x in core else 0 for x in sorted(keys)]
-        yield frame({"spelling": s, "real": k, "n_core": n})
+            trust += [bool(trusted)] * len(keys)
+        yield frame({"spelling": s, "real": k, "n_core": n, "trusted": trust})
 
 
 def _gram_set(token: str) -> list[str]:
@@ -252,13 +253,16 @@ def similar_tokens(typed: DataFrame, real: DataFrame) -> DataFrame:
     """Pairs (``token``, ``real``, ``sim``) of typed and catalogue tokens that may be one word.
 
     A prefix-filtered similarity join on the tokens' q-gram sets (Jaccard ``OVERLAP``), equal
-    tokens and short given names; both inputs hold distinct tokens.
+    tokens and short given names; both inputs hold distinct tokens.  ``real`` also says whether
+    a token is ``trusted``, that is, stands in a name: a word that stands only in aliases may
+    be a typing error itself, so meeting it does not rule out other readings.
     """
+    trusted = broadcast_if_small(real.filter("trusted").select("token"))
     equal = typed.join(broadcast_if_small(real.select(F.col("token").alias("real"))), F.col("token") == F.col("real")).select("token", "real", F.lit(1.0).alias("sim"))
     short = typed.mapInPandas(_full_forms, "token string, real string, sim double").join(broadcast_if_small(real.select(F.col("token").alias("real"))), "real", "left_semi").select("token", "real", "sim")
     grams = "token string, grams array<string>"
-    a = typed.filter(F.length("token") > 1).join(equal.select("token").distinct(), "token", "left_anti").mapInPandas(_gram_rows, grams)
-    a, b = written(a, "typed-grams"), written(real.filter(F.length("token") > 1).mapInPandas(_gram_rows, grams), "real-grams")
+    a = typed.filter(F.length("token") > 1).join(trusted, "token", "left_anti").mapInPandas(_gram_rows, grams)
+    a, b = written(a, "typed-grams"), written(real.filter(F.length("token") > 1).select("token").mapInPandas(_gram_rows, grams), "real-grams")
     order = broadcast_if_small(written(b.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("freq")), "gram-order"))
     left = _prefixed(a, order).withColumnRenamed("size", "sa")
     right = broadcast_if_small(_prefixed(b, order).select(F.col("token").alias("real"), F.col("size").alias("sb"), "gram"), 400_000)
@@ -270,20 +274,21 @@ def similar_tokens(typed: DataFrame, real: DataFrame) -> DataFrame:
     fuzzy = pairs.mapInPandas(_verify_tokens, "token string, real string, sim double")
     found = equal.unionByName(short).unionByName(fuzzy).groupBy("token", "real").agg(F.max("sim").alias("sim"))
     # a word is read in its nearest sense: one typing error away beats two
-    found = found.withColumn("top", F.max("sim").over(Window.partitionBy("token")))
-    return found.filter(F.col("sim") >= F.col("top") - NEAREST).drop("top")
+    found = found.join(broadcast_if_small(real.select(F.col("token").alias("real"), "trusted")), "real")
+    found = found.withColumn("top", F.max(F.when(F.col("trusted"), F.col("sim"))).over(Window.partitionBy("token")))
+    return found.filter(F.coalesce(F.col("sim") >= F.col("top") - NEAREST, F.lit(True))).select("token", "real", "sim")
 
 
 def candidates(typed: DataFrame, known: DataFrame) -> DataFrame:
     """Pairs (``name``, ``spelling``) that share enough similar tokens.
 
-    typed: ``name``, ``toks``; known: ``spelling``, ``toks``; both distinct.  Every core token
+    typed: ``name``, ``toks``; known: ``spelling``, ``toks``, ``trusted``; both distinct.  Every core token
     of a spelling must be met, but for one that an initial may stand for.
     """
-    keys = written(known.mapInPandas(_key_rows, "spelling string, real string, n_core int"), "keys")
+    keys = written(known.mapInPandas(_key_rows, "spelling string, real string, n_core int, trusted boolean"), "keys")
     typed_tokens = typed.select("name", F.explode(F.array_distinct("toks")).alias("token"))
     has_initial = F.exists("toks", lambda t: F.length(t) == 1)
-    alike = written(similar_tokens(typed_tokens.select("token").distinct(), keys.select(F.col("real").alias("token")).distinct()), "similar-tokens")
+    alike = written(similar_tokens(typed_tokens.select("token").distinct(), keys.groupBy(F.col("real").alias("token")).agg(F.max("trusted").alias("trusted"))), "similar-tokens")
     hits = typed_tokens.join(broadcast_if_small(alike, 200_000), "token").join(broadcast_if_small(keys, 200_000), "real")
     met = hits.groupBy("name", "spelling").agg(F.max("n_core").alias("n_core"), F.count_distinct("real").alias("n_met"), F.max(F.col("n_core") == 0).alias("joined"))
     flags = typed.select("name", "toks", has_initial.alias("initial"))
@@ -364,7 +369,7 @@ def variants(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     exact = spelled.select(F.col("spelling").alias("name")).distinct()
     open_names = names.join(broadcast_if_small(exact), "name", "left_anti")
     typed = written(_with_tokens(spread(open_names.select("name").distinct()), "name"), "typed")
-    known = written(_with_tokens(spelled.select("spelling").distinct(), "spelling"), "known")
+    known = written(_with_tokens(spelled.groupBy("spelling").agg(F.max(F.col("spelling") == F.col("artist_name")).alias("trusted")), "spelling"), "known")
     weights, unseen = token_weights(catalogue)
     pairs = candidates(typed, known)
     scored = spread(pairs).mapInPandas(_verify(weights, unseen), "name string, spelling string, score double, initial boolean")
