@@ -473,7 +473,7 @@ def keyword_search(spark, root):
     return table(spark, root, "documents").filter("text is not null").select("doc_id", hits.cast("bigint").alias("hits")).filter("hits > 0")
 
 
-@query("""SELECT event_type, epoch(ts)::BIGINT // 21600 * 21600 AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
+@query("""SELECT event_type, floor(epoch(ts))::BIGINT // 21600 * 21600 AS window_start, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY ALL""")
 def tumbling_windows(spark, root):
     e = table(spark, root, "events").withColumn("t", F.col("ts").cast("timestamp"))
     w = e.groupBy("event_type", F.window("t", "6 hours")).agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("total"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from showgrain.functions import columns as C
 from showgrain.functions import times as X
 from showgrain.functions.timeparse import parse_instant, resolve_zone
-from showgrain.operators import dedup, fuzzy, generate, grammar, merge, packed, search, timestamps
+from showgrain.operators import collapse, components, dedup, fuzzy, generate, grammar, merge, packed, search, timestamps
 from showgrain.operators import relational as R
 
 EVENT = "_ord long, source_id string, starts_at string, raw_date_text string, fetched_at timestamp, _zone string, key string"
@@ -207,3 +207,35 @@ def test_vector_search(spark):
             s = np.round(m @ m[q], 4)
             best = sorted(range(80), key=lambda i: (-s[i], i))[:3]
             assert [got[q, k + 1] for k in range(3)] == best
+
+
+def _plain_waiting(rows):
+    kept, prints, out = [], {}, {}
+    for o, venue, form, start, ticket, fp in sorted(rows):
+        hit = prints.get((venue, fp)) if fp else None
+        for i, (ko, kv, kf, ks, kt) in enumerate(kept):
+            near = start is not None and ks is not None and (start // 86400 == ks // 86400 or abs(start - ks) <= 18 * 3600)
+            if kv == venue and form and kf == form and (ticket and kt and ticket == kt or not (ticket and kt) and near):
+                hit = i if hit is None else min(hit, i)
+                break
+        if hit is None:
+            kept.append((o, venue, form, start, ticket))
+            hit = len(kept) - 1
+        if fp:
+            prints.setdefault((venue, fp), hit)
+        out[o] = kept[hit][0]
+    return out
+
+
+def test_waiting_rows_against_a_plain_scan(spark):
+    rng = random.Random(6)
+    rows = [(i, rng.choice("uv"), rng.choice(["x", "y", "z", ""]), rng.choice([None, 86400 * 100 + rng.randint(0, 9) * 40_000]), rng.choice([None, "p", "q"]), rng.choice([None, None, "f1", "f2", "f3"])) for i in range(120)]
+    df = spark.createDataFrame(rows, "ord long, venue string, form string, start long, ticket string, fingerprint string")
+    assert {r.ord: r.kept_ord for r in collapse.waiting(df.repartition(3)).collect()} == _plain_waiting(rows)
+    assert collapse.waiting(df.limit(0)).count() == 0
+
+
+def test_components_of_a_long_chain(spark):
+    edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(40)] + [("x", "y"), ("y", "x")]
+    got = {r.label: r.rep for r in components.components(spark.createDataFrame(edges, "a string, b string")).collect()}
+    assert got == {f"n{i:03d}": "n000" for i in range(41)} | {"x": "x", "y": "x"}
