@@ -37,7 +37,7 @@ CLOSING = r"(?:(?:and|&|\+|y|und|plus|with)\s+)?(?:(?:many|much|muchos|lots|viel
 #: Announcements before a name, closed by a colon or a dash.
 STATUS = r"just announced|sold out|new show|new date|new|added|cancell?ed|postponed|rescheduled|free|tonight|low tickets|final tickets|early show|late show|special event"
 #: What follows a name after a colon.
-AFTER_COLON = r"a\w{2,6}\s+r\w{4,8}\s+s\w{2,4}$|(?:album|record|ep|single|cd|vinyl|release|tour|live|anniversary|farewell|reunion|acoustic|unplugged|night \w+|part \w+)\b.*"
+AFTER_COLON = r"(?:a\w{2,6}\s+r\w{4,8}\s+s\w{2,4}$|(?:album|record|ep|single|cd|vinyl|release|tour|live|anniversary|farewell|reunion|acoustic|unplugged|night \w+|part \w+)\b.*)"
 # ----------------------------------------------------------------------------------
 
 _STRONG = r"\r?\n|<br\s*/?>|;|\||//|\s·\s|\s•\s|\s\+\s|\s[xX×]\s|\svs?\.?\s|\sw/\s?|\s(?:with|w)\s+(?:very\s+)?special\s+guests?:?\s|\s(?:feat|ft)\.?\s|\sfeaturing\s|\swith\s|\sand\s+special\s+guests?:?\s"

@@ -54,6 +54,8 @@ PACKED = [
     ("Ann Lee/Dusty & Raccoon", ["Ann Lee", "Dusty & Raccoon"]),
     ("Glass, Lormridge & Yonder // Ann Lee", ["Glass, Lormridge & Yonder", "Ann Lee"]),
     ("SOLD OUT: Ann Lee x Bob Ray (21+)", ["Ann Lee", "Bob Ray"]),
+    ("Midnight Otter Trio w/ Late Release Club + Evergreen Tour Bus", ["Midnight Otter Trio", "Late Release Club", "Evergreen Tour Bus"]),
+    ("Crooked Kestrel: Ablum Release Show", []),
     ("Draydale, Dorothy", []),
     ("The Rust Band, The", []),
     ("An Evening with Dusty & Raccoon", []),
