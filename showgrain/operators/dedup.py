@@ -4,8 +4,8 @@
 winners so far; it is not transitive, so no component algorithm gives the same result.
 The work splits without changing it: a match needs equal venue and title form and starts
 on one UTC day or at most 18 hours apart, so a group falls apart wherever two successive
-starts are neither.  Each such run is scanned as a stream that keeps only its winners, so
-neither a hot title nor a venue is ever held as a whole.
+starts are neither.  Each such run is scanned as a stream that keeps only its winners.
+Only the numbering of runs sorts the keys of one venue and title in one task (spilling).
 """
 
 from __future__ import annotations
