@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from showgrain.functions.text import BLANKS, LOOK_ALIKES, compatibility_forms, invisible_class
+from showgrain.session import written
 
 
 def form_expression(column: str) -> str:
@@ -72,27 +73,15 @@ def alike_pairs(rows: DataFrame, fields: tuple[str, ...] = ("title", "descriptio
         "source_event_id",
         F.explode(F.array(*[F.struct(F.lit(f).alias("field_name"), F.col(f).alias("text")) for f in fields])).alias("_f"),
     ).select("_ord", "source_id", "source_event_id", "_f.*")
+    long = written(long.filter("text is not null").withColumn("text_id", F.md5("text")), "long")
     key = ["source_id", "source_event_id", "field_name"]
-    spelled = (
-        long.filter("text is not null")
-        .groupBy(*key, "text")
-        .agg(F.collect_list("_ord").alias("ords"))
-        .withColumn("n", F.count("*").over(_window(key)))
-        .filter("n > 1")
-        .drop("n")
-    )
-    formed = consistent(spelled, ["text"]).select(*key, F.col("text_form").alias("form"), "text", "ords")
+    several = long.groupBy(*key).agg(F.min("text_id").alias("lo"), F.max("text_id").alias("hi")).filter("lo <> hi").select(*key)
+    spelled = long.join(several, key, "left_semi").groupBy(*key, "text_id").agg(F.first("text").alias("text"))
+    formed = written(consistent(spelled, ["text"]).select(*key, F.md5("text_form").alias("form"), "text_id"), "forms")
     a, b = formed.alias("a"), formed.alias("b")
     same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*key, "form"]]
-    pairs = a.join(b, [*same, F.col("a.text") < F.col("b.text")])
-    return (
-        pairs.select(F.col("a.field_name").alias("field_name"), F.explode("a.ords").alias("x"), F.col("b.ords").alias("ords"))
-        .select("field_name", "x", F.explode("ords").alias("y"))
-        .select(F.least("x", "y").alias("ord_lo"), F.greatest("x", "y").alias("ord_hi"), "field_name")
-    )
-
-
-def _window(key: list[str]):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*key)
+    spellings = a.join(b, [*same, F.col("a.text_id") < F.col("b.text_id")]).select(*[F.col(f"a.{k}").alias(k) for k in key], F.col("a.text_id").alias("one"), F.col("b.text_id").alias("two"))
+    rows = long.select(*key, "text_id", "_ord")
+    left = spellings.join(rows.withColumnsRenamed({"text_id": "one", "_ord": "x"}), [*key, "one"])
+    both = left.join(rows.withColumnsRenamed({"text_id": "two", "_ord": "y"}), [*key, "two"])
+    return both.select(F.least("x", "y").alias("ord_lo"), F.greatest("x", "y").alias("ord_hi"), "field_name")
