@@ -43,7 +43,6 @@ CALENDAR = frozenset("monday tuesday wednesday thursday friday saturday sunday j
 
 _WORD = re.compile(r"[^\W_]+")
 _BASE = 1_000_003
-_MASK = (1 << 64) - 1
 
 
 def words(text: str | None) -> list[str]:
