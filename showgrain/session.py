@@ -70,7 +70,15 @@ def broadcast_if_small(df: DataFrame, bound: int = SMALL_SIDE_ROWS) -> DataFrame
     return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
 
 
-def spread(df: DataFrame, minimum: int = 0) -> DataFrame:
-    """Round-robin a small input over the cluster ahead of CPU-heavy Python work."""
-    sc = df.sparkSession.sparkContext
-    return df.repartition(max(minimum, sc.defaultParallelism, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+def spread(df: DataFrame) -> DataFrame:
+    """A small input spread over the cluster ahead of CPU-heavy Python work.
+
+    An input that fills every core with read partitions of its own is left as it is, so a
+    large corpus is never shuffled for this.
+    """
+    spark = df.sparkSession
+    wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    if size >= wanted * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
+        return df
+    return df.repartition(wanted)

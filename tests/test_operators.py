@@ -241,3 +241,16 @@ def test_components_of_a_long_chain(spark):
     edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(40)] + [("x", "y"), ("y", "x")]
     got = {r.label: r.rep for r in components.components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert got == {f"n{i:03d}": "n000" for i in range(41)} | {"x": "x", "y": "x"}
+
+
+def test_large_inputs_are_not_shuffled_for_spreading(spark, tmp_path):
+    from showgrain.session import spread
+
+    spark.range(2000).withColumn("t", F.repeat(F.lit("ab"), 500)).repartition(1).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    assert "REPARTITION" in spread(df)._jdf.queryExecution().toString().upper()
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "100")
+    try:
+        assert "REPARTITION" not in spread(df)._jdf.queryExecution().toString().upper()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
