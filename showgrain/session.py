@@ -78,7 +78,7 @@ def spread(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     wanted = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     if size >= wanted * spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes():
         return df
     return df.repartition(wanted)
