@@ -3,7 +3,7 @@
 Per source and column two histograms are built, of lengths in characters and in bytes,
 over distinct texts (copies would fake a spike).  A source has a limit where the count
 at its maximum is far above what its density just below would give (a Poisson tail
-under ``CHANCE``).  Texts at a limit without terminal punctuation are cut.  Elsewhere a
+under ``CHANCE``, at any density, so that a table may grow).  Texts at a limit without terminal punctuation are cut.  Elsewhere a
 text is cut where it ends in a broken character or entity, or where what stands before
 a "read more" marker, or the end, is neither a finished sentence nor one of the finished
 lines that need no full stop (sign-off, address, list, tag, price line ...).
@@ -18,7 +18,9 @@ is tested; a null source is a source of its own; an empty table gives an empty r
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import math
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from showgrain.session import broadcast_if_small, written
@@ -86,6 +88,13 @@ def _parts(docs: DataFrame) -> DataFrame:
     )
 
 
+def _log_tail(n: Column, rate: Column) -> Column:
+    """Upper bound of the logarithm of P(at least n) of a Poisson variable, for any rate below n."""
+    # n! from below by Stirling; the later terms are under a geometric series
+    log_factorial = (n + 0.5) * F.log(n) - n + 0.5 * math.log(2 * math.pi) + 1 / (12 * n + 1)
+    return n * F.log(rate) - rate - log_factorial - F.log(1 - rate / (n + 1))
+
+
 def limits(docs: DataFrame) -> DataFrame:
     """``source``, ``unit`` ('chars' or 'bytes') and ``at`` of the length limits that sources show."""
     once = (
@@ -104,9 +113,8 @@ def limits(docs: DataFrame) -> DataFrame:
         F.sum(F.when((F.col("len") < F.col("at")) & (F.col("len") >= F.col("at") * (1 - NEAR)), F.col("n")).otherwise(0)).alias("n_near"),
     )
     rate = (F.col("n_near") + 0.5) / F.greatest(F.col("at") * NEAR, F.lit(1.0))
-    # P(at least k) of a Poisson variable is under rate^k / k! here, as the rate is far below k
-    tail = F.col("n_at") * F.log(rate) - F.log(F.factorial(F.least(F.col("n_at"), F.lit(20)).cast("int")).cast("double"))
-    return stats.filter((F.col("n_at") >= LEAST_AT_LIMIT) & (rate < 1) & (tail < F.log(F.lit(CHANCE)))).select("source", "unit", "at")
+    spike = (rate < F.col("n_at")) & (_log_tail(F.col("n_at"), rate) < math.log(CHANCE))
+    return stats.filter((F.col("n_at") >= LEAST_AT_LIMIT) & spike).select("source", "unit", "at")
 
 
 def judged(docs: DataFrame) -> DataFrame:

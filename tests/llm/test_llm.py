@@ -363,6 +363,22 @@ def test_limits_show_as_spikes(spark):
     assert report["short"] == (60, 30) and report["long"][1] == 0
 
 
+def _lengths(rng, n, at):
+    """n texts of one source: 0.7 to 0.99 of the limit, or longer before they were cut at it."""
+    text = lambda size: "".join(rng.choices("abcdefgh ", k=size - 1))
+    return [text(at) + "z" if rng.random() < 0.8 else text(rng.randint(int(at * 0.7), at - 1)) + "." for _ in range(n)]
+
+
+@pytest.mark.parametrize("n", [240, 2400])
+def test_limits_hold_as_a_table_grows(spark, n):
+    rng = random.Random(9)
+    texts = _lengths(rng, n, 280)
+    docs = spark.createDataFrame([(i, "s", t) for i, t in enumerate(texts)], "doc_id long, source string, text string")
+    assert {r["at"] for r in truncated.limits(docs).collect()} == {280}
+    [r] = truncated.truncation_by_source(docs).collect()
+    assert r.n_at_limit == sum(len(t) == 280 for t in texts) > n / 2
+
+
 def test_weights_are_learned():
     counts = {"close|same|same|3": 500, "close|none|none|3": 100, "close|other|other|0": 800, "close|none|other|0": 300, "moved|same|same|3": 40, "close|same|none|2": 60}
     w = linkage.learn(counts)
