@@ -379,6 +379,24 @@ def test_limits_hold_as_a_table_grows(spark, n):
     assert r.n_at_limit == sum(len(t) == 280 for t in texts) > n / 2
 
 
+def test_longer_texts_do_not_hide_a_limit(spark):
+    rng = random.Random(10)
+    rows = [("stray", t) for t in _lengths(rng, 240, 255)] + [("stray", "x" * 279 + "e…")]
+    # a mark is put after some of the cuts, in two lengths
+    rows += [("marked", t + (("", "…", "… Read more")[i % 3] if t.endswith("z") else "")) for i, t in enumerate(_lengths(rng, 240, 255))]
+    # a dash of three bytes in a fifth of the texts: more bytes, the same limit in characters
+    rows += [("dashes", "—" + t[1:] if i % 5 == 0 else t) for i, t in enumerate(_lengths(rng, 240, 255))]
+    # a wealth of one length in the midst of others is no limit
+    rows += [("midst", t + ("" if i % 3 else " and longer" * rng.randint(1, 90) + ".")) for i, t in enumerate(_lengths(rng, 240, 255))]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, source string, text string")
+    found = {(r.source, r.unit, r["at"]) for r in truncated.limits(docs).collect()}
+    assert {(s, a) for s, u, a in found if u == "chars"} == {("stray", 255), ("marked", 255), ("marked", 266), ("dashes", 255)}
+    assert not {x for x in found if x[:2] == ("dashes", "bytes")} and ("marked", "marked", 255) in found
+    n = {s: sum(("z" in t) and t.rstrip("…").removesuffix("… Read more").endswith("z") for x, t in rows if x == s) for s in ("stray", "marked", "dashes", "midst")}
+    report = {r.source: r.n_at_limit for r in truncated.truncation_by_source(docs).collect()}
+    assert report == n | {"midst": 0}
+
+
 def test_weights_are_learned():
     counts = {"close|same|same|3": 500, "close|none|none|3": 100, "close|other|other|0": 800, "close|none|other|0": 300, "moved|same|same|3": 40, "close|same|none|2": 60}
     w = linkage.learn(counts)
