@@ -9,7 +9,7 @@ from showgrain.functions import columns as C
 from showgrain.functions import times as X
 from showgrain.operators import collapse, generate
 from showgrain.operators import relational as R
-from showgrain.plans.reference import AS_OF, AS_OF_S, NORM, L, as_of, listings
+from showgrain.plans.reference import AS_OF, AS_OF_S, NORM, L, as_of, dated, listings
 from showgrain.session import table
 
 QUERIES: dict = {}
@@ -44,7 +44,7 @@ def tiered_artists(spark: SparkSession, root: str) -> DataFrame:
 @query()
 def waiting_collapsed(spark, root):
     """Waiting rows collapsed in order: equal fingerprints whatever their title, equal ticket and title whatever their start."""
-    df = listings(spark, root).filter("venue_id is not null")
+    df = dated(spark, root).filter("venue_id is not null")
     rows = df.select(F.col("_ord").alias("ord"), F.col("venue_id").alias("venue"), C.normalize_title("title").alias("form"), F.col("s").alias("start"), C.ticket_key("ticket_url").alias("ticket"), C.no_value("fingerprint").alias("fingerprint"))
     return collapse.waiting(rows)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from showgrain.functions import columns as C
 from showgrain.functions import times as X
-from showgrain.operators import dedup, fuzzy, generate, merge
+from showgrain.operators import dedup, fuzzy, generate, merge, timestamps
 from showgrain.operators import relational as R
 from showgrain.session import broadcast_if_small, table
 
@@ -39,7 +39,14 @@ def listings(spark: SparkSession, root: str) -> DataFrame:
     return df.withColumn("s", F.unix_timestamp("start"))
 
 
-#: The same in SQL, as a CTE body.
+def dated(spark: SparkSession, root: str) -> DataFrame:
+    """All partner_event rows with an id, with ``start`` and ``s`` as ``listings``, however the start is written; null where none can be told."""
+    df = table(spark, root, "partner_event").filter("_ord is not null")
+    told = timestamps.starts(df, table(spark, root, "venue_event_sources")).groupBy("_ord").agg(F.min("instant").alias("s"))
+    return df.join(told, "_ord", "left").withColumn("start", F.timestamp_seconds("s"))
+
+
+#: ``listings`` in SQL, as a CTE body.
 L = """listings AS (SELECT *, epoch(strptime(substr(starts_at, 1, 19), '%Y-%m-%dT%H:%M:%S'))::BIGINT AS s FROM partner_event
   WHERE regexp_matches(starts_at, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}(\\.\\d{3})?Z$'))"""
 NORM = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9 ]', '', 'g'), ' +', ' ', 'g'))"
@@ -396,7 +403,7 @@ def contiguous_segments(spark, root):
 @query()
 def batch_clusters(spark, root):
     """Order-dependent clusters; no SQL can say it, a plain scan in the tests can."""
-    df = listings(spark, root).filter("venue_id is not null")
+    df = dated(spark, root).filter("venue_id is not null")
     rows = df.select(F.col("_ord").alias("ord"), F.col("venue_id").alias("venue"), C.normalize_title("title").alias("form"), F.col("s").alias("start"), C.ticket_key("ticket_url").alias("ticket"), C.preference("confidence", "ticket_url", "image_url", "description", "start").alias("score"))
     return dedup.cluster(rows)
 

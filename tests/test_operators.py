@@ -10,6 +10,7 @@ from showgrain.functions import times as X
 from showgrain.functions.timeparse import parse_instant, resolve_zone
 from showgrain.operators import collapse, components, dedup, fuzzy, generate, grammar, merge, packed, search, timestamps
 from showgrain.operators import relational as R
+from showgrain.plans import catalogue, reference
 
 EVENT = "_ord long, source_id string, starts_at string, raw_date_text string, fetched_at timestamp, _zone string, key string"
 SOURCE = "id string, timezone string"
@@ -254,3 +255,25 @@ def test_large_inputs_are_not_shuffled_for_spreading(spark, tmp_path):
         assert "REPARTITION" not in spread(df)._jdf.queryExecution().toString().upper()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_order_dependent_queries_read_every_start(spark, tmp_path):
+    rng = random.Random(4)
+    at = 1792522800  # 20 October 2026, 19:00 UTC
+    told = {"2026-10-20T19:00:00Z": at, "Oct 20, 2026 7:00 PM UTC": at, str(at): at, "2026-10-20 19:30 UTC": at + 1800, "2026-10-25T19:00:00Z": at + 5 * 86400, "no date": None, None: None}
+    forms = {"Ann Lee": "ann lee", "ANN LEE!": "ann lee", "Other Act": "other act", "": ""}
+    raw = [(i, "s", rng.choice("uv"), rng.choice(list(forms)), rng.choice(list(told)), None, datetime(2026, 10, 1), rng.choice([None, "https://t.example/a", "https://t.example/b"]), rng.choice([None, None, "f1", "f2", "f3"]), rng.random(), None, None) for i in range(120)]
+    schema = "_ord long, source_id string, venue_id string, title string, starts_at string, raw_date_text string, fetched_at timestamp, ticket_url string, fingerprint string, confidence double, image_url string, description string"
+    df = spark.createDataFrame(raw, schema)
+    df.write.parquet(f"{tmp_path}/partner_event.parquet")
+    spark.createDataFrame([("s", "UTC")], SOURCE).write.parquet(f"{tmp_path}/venue_event_sources.parquet")
+    ticket = lambda r: r[7] and r[7].removeprefix("https://")
+
+    waiting = [(r[0], r[2], forms[r[3]], told[r[4]], ticket(r), r[8]) for r in raw]
+    assert {r.ord: r.kept_ord for r in catalogue.waiting_collapsed(spark, str(tmp_path)).collect()} == _plain_waiting(waiting)
+
+    start = F.timestamp_seconds(F.create_map(*[F.lit(x) for k, v in told.items() if v for x in (k, v)])[F.col("starts_at")])
+    score = {r[0]: r[1] for r in df.select("_ord", C.preference("confidence", "ticket_url", "image_url", "description", start)).collect()}
+    usable = [(r[0], r[2], forms[r[3]], told[r[4]], ticket(r), score[r[0]]) for r in raw if told[r[4]] and forms[r[3]]]
+    alone = {r[0]: r[0] for r in raw} | _plain_scan(usable)
+    assert {r.ord: r.cluster for r in reference.batch_clusters(spark, str(tmp_path)).collect()} == alone
