@@ -36,11 +36,11 @@ def p3_found(spark: SparkSession, root: str) -> DataFrame:
     rows = venue_rows(spark, root)
     starts = written(timestamps.starts(rows, table(spark, root, "venue_event_sources")), "starts")
     history = linkage.History(spark)
-    history.add(linkage.existing_records(table(spark, root, "existing_event")))
+    history.add(linkage.existing_records(table(spark, root, "existing_event")), "existing")
     batch = F.coalesce("batch_no", F.lit(ARRIVALS[0]))
     for lo, hi in zip((None, *ARRIVALS), (*ARRIVALS, None), strict=True):
         arrived = (F.lit(True) if lo is None else batch > lo) & (F.lit(True) if hi is None else batch <= hi)
-        history.add(linkage.partner_records(rows.filter(arrived), starts))
+        history.add(linkage.partner_records(rows.filter(arrived), starts), f"to-{hi}")
     return linkage.repeated(history.found())
 
 

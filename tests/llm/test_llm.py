@@ -2,6 +2,7 @@ import random
 from datetime import UTC, datetime, timedelta
 
 import pytest
+from pyspark.sql import functions as F
 
 from showgrain.llm import leakage, linkage, lookalike, matching, names, packing, residue, shows, truncated
 
@@ -150,13 +151,80 @@ def test_linkage_odd_rows(spark):
     assert got == {"1|a": "1|a", "1|b": "1|b", "1|c": "1|c", "1|d": "1|c", "1|e": "1|c", "1|f": "1|f"}
 
 
-def test_crowded_keys(spark, monkeypatch):
-    monkeypatch.setattr(linkage, "CROWD", 5)
-    schema = "label string, venue string, title string, instant long, source_event_id string, ticket_url string"
-    rows = [(f"1|{i:03d}", "v", f"Quiet Otter number{i % 20}", 1_800_000_000 + (i // 20) * 60, "same", None) for i in range(60)]
-    h = linkage.History(spark)
-    h.add(spark.createDataFrame(rows, schema))
-    assert len({r.rep for r in h.found().collect()}) <= 20
+RECORD = "label string, venue string, title string, instant long, source_event_id string, ticket_url string"
+
+
+def test_crowded_keys(spark):
+    """Whatever number of nodes counts as a crowd, the clusters are the same."""
+    rng = random.Random(5)
+    words = ["Quiet", "Quite", "Otter", "Oter", "Lantern", "Kestrel", "Harbor", "Show", "Night"]
+    t0, seen = 1_800_000_000, []
+    for i in range(260):
+        title = " ".join(rng.sample(words, rng.randint(1, 3)))
+        start = t0 + rng.choice([0, 0, 600, 3600, 7200, 8000, 86400, 4 * 86400, 6 * 86400, 9 * 86400])
+        sid = rng.choice([None, None, "same", f"s{rng.randint(0, 60)}"])
+        page = rng.choice([None, None, f"https://t.example/{rng.randint(0, 40)}"])
+        seen.append((f"1|{i:03d}", rng.choice(["v", "v", "v", "w", None]), title, start, sid, page))
+    found = []
+    for crowd in (1, 10, 10_000):
+        h = linkage.History(spark, crowd=crowd)
+        for k in (0, 1):
+            h.weights, h.counts = None, {}
+            h.add(spark.createDataFrame(seen[k * 130 : k * 130 + 130], RECORD), k)
+        found.append({r.member: r.rep for r in h.found().collect()})
+    assert len(set(found[-1].values())) < 250
+    assert all(f == found[-1] for f in found)
+
+
+def test_crowded_slot_loses_no_link(spark):
+    """A misspelt one-word act links beside 600 other shows of its slot as beside 20."""
+    odd = [("1|0", "v", "Nightbirds", 1_800_000_000, None, None), ("1|1", "v", "Nightbird", 1_800_000_000, None, None)]
+    for n in (20, 600):
+        rows = odd + [(f"1|x{i:04d}", "v", f"{chr(97 + i % 26) * 3}{chr(97 + i // 26) * 4} act", 1_800_000_000, f"id{i}", None) for i in range(n)]
+        h = linkage.History(spark)
+        h.add(spark.createDataFrame(rows, RECORD))
+        got = {r.member: r.rep for r in h.found().collect()}
+        assert got["1|1"] == "1|0" and len(set(got.values())) == n + 1
+
+
+def test_history_is_not_read_again(spark, monkeypatch):
+    """A batch reads as much from ten times the history; a redelivered one changes nothing; compaction keeps all."""
+    def show(i, era):
+        return (f"1|{era:03d}{i:03d}", f"v{i % 9}", f"Quiet Otter {chr(97 + i % 26) * 3}{i}", 1_500_000_000 + era * linkage.ERA_S * 2 + i * 40_000, f"id{era}-{i}", None)
+
+    reads, asked = [], linkage.History._read
+
+    def read(self, name, schema, more=()):
+        reads.append((name, asked(self, name, schema, more)))
+        return reads[-1][1]
+
+    monkeypatch.setattr(linkage.History, "_read", read)
+    sizes = []
+    pooled = linkage.History._pool
+
+    def pool(self, rows):
+        out = pooled(self, rows)
+        scan = next(d for n, d in reversed(reads) if n == "nodes")
+        eras = [r.era for r in out.select("era").distinct().collect()]
+        sizes.append((scan.filter(F.col("era").isin(eras)).count(), out.count()))
+        return out
+
+    monkeypatch.setattr(linkage.History, "_pool", pool)
+    batch = [(f"2|{i:03d}", f"v{i % 9}", f"Quiet Oter {chr(97 + i % 26) * 3}{i}", 1_500_000_000 + 20 * linkage.ERA_S * 2 + i * 40_000, f"id20-{i}", None) for i in range(30)]
+    seen = []
+    for eras in ([20], range(11, 21)):
+        h = linkage.History(spark)
+        h.add(spark.createDataFrame([show(i, era) for era in eras for i in range(60)], RECORD), "held")
+        h.add(spark.createDataFrame(batch, RECORD), "new")
+        last = sizes[-1]
+        before = {r.member: r.rep for r in h.found().collect()}
+        assert all(before[f"2|{i:03d}"] == f"1|020{i:03d}" for i in range(30))
+        h.add(spark.createDataFrame(batch, RECORD), "new")
+        h.compact()
+        assert len(h.parts) == 1 and {r.member: r.rep for r in linkage.History(spark, h.path).found().collect()} == before
+        seen.append(last)
+    assert seen[0] == seen[1] and seen[0][0] <= 60
+
 
 
 # --- look-alikes ----------------------------------------------------------------------
