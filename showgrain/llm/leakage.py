@@ -10,7 +10,8 @@ same window and hits are found by a hash join.  The slots of a hit are then chec
 
 The evaluation side is an index of distinct window hashes.  Up to ``INDEX_BOUND`` windows
 it is broadcast and documents are probed where they are scanned, without any shuffle;
-beyond it, document windows are shuffled by hash and joined, which gives the same rows.
+beyond it, only the hashes of document windows are shuffled to be joined, and the text of a
+window is made for the hits alone, which gives the same rows.
 
 Defined results: rows without an id take no part; null, empty and short texts (under a window) hold nothing; a document
 that repeats a passage is reported once for an item; an item held twice under two ids is
@@ -32,7 +33,9 @@ from showgrain.functions.frames import frame
 from showgrain.session import spread, written
 
 WINDOW = 12
-INDEX_BOUND = 2_000_000  # distinct evaluation windows up to which the index is broadcast
+INDEX_BOUND = 200_000  # distinct evaluation windows up to which the index is broadcast
+NAMES_BOUND = 500_000  # names of the evaluation set, which every task holds
+SALTS = 8
 
 # --- fixed values -----------------------------------------------------------------
 #: Units of measure, English, Spanish and German.
@@ -115,7 +118,7 @@ def relation(doc: list[str], item: list[str], canon: Canon, more: frozenset[str]
     return "reparameterised"
 
 
-def leaks(docs: DataFrame, items: DataFrame, loose: bool = False) -> DataFrame:
+def leaks(docs: DataFrame, items: DataFrame, loose: bool = False, bound: int = INDEX_BOUND) -> DataFrame:
     """``doc_id``, ``item_id`` and ``kind`` of every document that holds a window of an item.
 
     loose: read documents a second time with the names of their own as placeholders, which
@@ -125,18 +128,21 @@ def leaks(docs: DataFrame, items: DataFrame, loose: bool = False) -> DataFrame:
     eval_rows = items.filter("item_id is not null and coalesce(trim(text), '') <> ''").select("item_id", "text")
     docs = docs.filter("doc_id is not null").select("doc_id", "text")
     names = _names(eval_rows)
-    index = written(eval_rows.mapInPandas(_index_of(names), "h long, item_id long, window string"), "eval-windows")
-    distinct = index.distinct()
-    if distinct.limit(INDEX_BOUND + 1).count() <= INDEX_BOUND:
-        held = distinct.toPandas()
+    index = written(eval_rows.mapInPandas(_index_of(names), "h long, item_id long, window string").distinct(), "eval-windows")
+    if index.limit(bound + 1).count() <= bound:
+        held = index.toPandas()
         shared = spark.sparkContext.broadcast((held.h.to_numpy(), held.item_id.to_numpy(), held.window.tolist()))
-        pairs = spread(docs.select("doc_id", "text")).mapInPandas(_probe(names, shared, loose), "doc_id long, item_id long, kind string")
-    else:
-        slid = docs.select("doc_id", "text").mapInPandas(_slide(names, loose), "doc_id long, h long, window string, own string")
-        salted = distinct.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(7))))
-        hit = slid.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(8)).cast("int")).join(salted.withColumnRenamed("window", "item_window"), ["h", "salt"])
-        pairs = hit.mapInPandas(_relate(names), "doc_id long, item_id long, kind string")
-    return pairs.distinct()
+        pairs = spread(docs).mapInPandas(_probe(names, shared, loose), "doc_id long, item_id long, kind string")
+        return pairs.distinct()
+    salt = lambda d: d.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = lambda d: d.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
+    slid = docs.mapInPandas(_slide(names, loose), "doc_id long, h long")
+    hit = salted(slid).join(salt(index.select("h").distinct()), ["h", "salt"], "left_semi").select("doc_id", "h").distinct()
+    # a document's hits are no more than its windows
+    wanted = written(hit.groupBy("doc_id").agg(F.collect_set("h").alias("hits")), "hits")
+    shown = docs.join(wanted, "doc_id").mapInPandas(_show(names, loose), "doc_id long, h long, window string, own string")
+    met = salted(shown).join(salt(index.withColumnRenamed("window", "item_window")), ["h", "salt"])
+    return met.mapInPandas(_relate(names), "doc_id long, item_id long, kind string").distinct()
 
 
 def _names(eval_rows: DataFrame) -> frozenset[str]:
@@ -146,8 +152,10 @@ def _names(eval_rows: DataFrame) -> frozenset[str]:
         for b in batches:
             yield frame({"name": sorted(names_of(b.text.tolist()))})
 
-    found = eval_rows.mapInPandas(run, "name string").distinct().limit(INDEX_BOUND)
-    return frozenset(r.name for r in found.orderBy("name").collect())
+    found = eval_rows.mapInPandas(run, "name string").distinct().limit(NAMES_BOUND + 1).collect()
+    if len(found) > NAMES_BOUND:
+        raise ValueError(f"over {NAMES_BOUND} names in the evaluation set; raise NAMES_BOUND to the executors' memory")
+    return frozenset(r.name for r in found)
 
 
 def _index_of(names: frozenset[str]):
@@ -198,13 +206,29 @@ def _slide(names: frozenset[str], loose: bool):
         for b in batches:
             for doc, text in zip(b.doc_id, b.text, strict=True):
                 ws = words(text)
+                found = [canon.windows(ws, more).view(np.int64) for more in readings(text, canon, loose)]
+                h = np.unique(np.concatenate(found))
+                if len(h):
+                    yield frame({"doc_id": [doc] * len(h), "h": h.tolist()})
+
+    return run
+
+
+def _show(names: frozenset[str], loose: bool):
+    """The windows of a document that have a wanted hash, and of its own names those in them."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        canon = Canon(names)
+        for b in batches:
+            out = set()
+            for doc, text, hits in zip(b.doc_id, b.text, b.hits, strict=True):
+                ws, wanted = words(text), np.asarray(hits, dtype=np.int64)
                 for more in readings(text, canon, loose):
-                    h = canon.windows(ws, more).view(np.int64).tolist()
-                    shown = [" ".join(ws[k : k + WINDOW]) for k in range(len(h))]
-                    # of the document's own names only those in the window travel with it
-                    own = [" ".join(w for w in ws[k : k + WINDOW] if w in more) for k in range(len(h))] if more else [""] * len(h)
-                    if h:
-                        yield frame({"doc_id": [doc] * len(h), "h": h, "window": shown, "own": own})
+                    h = canon.windows(ws, more).view(np.int64)
+                    for k in np.flatnonzero(np.isin(h, wanted)).tolist():
+                        here = ws[k : k + WINDOW]
+                        out.add((doc, int(h[k]), " ".join(here), " ".join(w for w in here if w in more)))
+            yield pd.DataFrame(sorted(out), columns=["doc_id", "h", "window", "own"]).astype({"doc_id": "int64", "h": "int64"})
 
     return run
 

@@ -3,9 +3,12 @@
 1. The distinct tokens of typed names and of the catalogue's names and aliases (also the
    joined whole of a name) become sets of q-grams.
 2. Prefix-filtered set-similarity join of the two token sets: grams are ordered by
-   frequency, rarest first; two sets of Jaccard similarity ``OVERLAP`` or more must share a
-   gram within their prefixes, so only prefixes are joined, and the real overlap and the
-   edit distance are taken next.  Spellings whose tokens are met become candidates.
+   frequency, rarest first.  ``EDITS`` edits leave two sets of grams with so many in common that
+   they must share one within their prefixes, at places and in words whose lengths differ by
+   no more than the edits: the join key is gram, place and length, so a common gram does not
+   bring all words together.  The edit distance is taken next.  A spelling becomes a candidate
+   of a name by its rarest word (where an initial may stand for that, by its second rarest too)
+   if its other words are met as well.
 3. Candidates are verified by soft weighted token similarity: tokens pair up by equality,
    typing errors, initials, short forms and abbreviations; rare tokens weigh more.  Two
    words that both stand in the catalogue are different words, not typing errors.
@@ -34,7 +37,8 @@ from showgrain.functions.text import bare, mixed_script_fold
 from showgrain.session import broadcast_if_small, spread, written
 
 Q = 2
-OVERLAP = 0.2  # Jaccard of the q-gram sets of two tokens that may be one word
+EDITS = 2  # typing errors between two tokens that may be one word
+BROKEN = 3  # grams that one error changes at most (a swap of neighbours)
 ACCEPT = 0.72  # soft weighted similarity of a link
 NEAREST = 0.06  # by which a token's other readings may be less similar than its best
 MARGIN = 0.04  # by which the best entity leads
@@ -211,27 +215,31 @@ def _key_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 keys |= {"".join(core), "".join(core[::-1])}
             s += [spelling] * len(keys)
             k += sorted(keys)
-            n += [len(core) if x in core else 0 for x in sorted(keys)]
+            n += [len(set(core)) if x in core else 0 for x in sorted(keys)]
             trust += [bool(trusted)] * len(keys)
         yield frame({"spelling": s, "real": k, "n_core": n, "trusted": trust})
 
 
-def _gram_set(token: str) -> list[str]:
-    t = f"^{token}$"
-    return sorted({t[i : i + Q] for i in range(len(t) - Q + 1)})
-
-
 def _gram_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """One row per gram of a token and place of it (counted from 0)."""
     for b in batches:
-        yield b.assign(grams=[_gram_set(t) for t in b.token])
+        t, g, p, n = [], [], [], []
+        for token in b.token:
+            w = f"^{token}$"
+            t += [token] * (len(w) - Q + 1)
+            g += [w[i : i + Q] for i in range(len(w) - Q + 1)]
+            p += range(len(w) - Q + 1)
+            n += [len(token)] * (len(w) - Q + 1)
+        yield frame({"token": t, "gram": g, "place": p, "len": n})
 
 
 def _prefixed(df: DataFrame, order: DataFrame) -> DataFrame:
-    """One row per prefix gram of each token's set, rarest grams first."""
-    long = df.select("token", F.size("grams").alias("size"), F.explode("grams").alias("gram")).join(order, "gram", "left")
-    sets = long.groupBy("token", "size").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), "gram"))).alias("g"))
-    length = (F.col("size") - F.ceil(F.col("size") * OVERLAP) + 1).cast("int")
-    return sets.select("token", "size", F.explode(F.slice("g", 1, length)).alias("x")).select("token", "size", "x.gram")
+    """One row per prefix gram (with its place) of each token, rarest grams first."""
+    long = df.join(order, "gram", "left")
+    sets = long.groupBy("token", "len").agg(F.array_sort(F.collect_list(F.struct(F.coalesce("freq", F.lit(0)).alias("f"), "gram", "place"))).alias("g"))
+    # of len + 1 grams, so many stay whatever the edits: all but one of the others may be left out
+    kept = F.greatest(F.lit(1), F.col("len") + 1 - EDITS * BROKEN)
+    return sets.select("token", "len", F.explode(F.slice("g", F.lit(1), F.size("g") - kept + 1)).alias("x")).select("token", "len", "x.gram", "x.place")
 
 
 def _verify_tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -251,7 +259,7 @@ def _full_forms(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def similar_tokens(typed: DataFrame, real: DataFrame) -> DataFrame:
     """Pairs (``token``, ``real``, ``sim``) of typed and catalogue tokens that may be one word.
 
-    A prefix-filtered similarity join on the tokens' q-gram sets (Jaccard ``OVERLAP``), equal
+    A prefix-filtered similarity join on the tokens' q-grams (``EDITS`` typing errors), equal
     tokens and short given names; both inputs hold distinct tokens.  ``real`` also says whether
     a token is ``trusted``, that is, stands in a name: a word that stands only in aliases may
     be a typing error itself, so meeting it does not rule out other readings.
@@ -259,17 +267,15 @@ def similar_tokens(typed: DataFrame, real: DataFrame) -> DataFrame:
     trusted = broadcast_if_small(real.filter("trusted").select("token"))
     equal = typed.join(broadcast_if_small(real.select(F.col("token").alias("real"))), F.col("token") == F.col("real")).select("token", "real", F.lit(1.0).alias("sim"))
     short = typed.mapInPandas(_full_forms, "token string, real string, sim double").join(broadcast_if_small(real.select(F.col("token").alias("real"))), "real", "left_semi").select("token", "real", "sim")
-    grams = "token string, grams array<string>"
+    grams = "token string, gram string, place int, len int"
     a = typed.filter(F.length("token") > 1).join(trusted, "token", "left_anti").mapInPandas(_gram_rows, grams)
-    a, b = written(a, "typed-grams"), written(real.filter(F.length("token") > 1).select("token").mapInPandas(_gram_rows, grams), "real-grams")
-    order = broadcast_if_small(written(b.select(F.explode("grams").alias("gram")).groupBy("gram").agg(F.count("*").alias("freq")), "gram-order"))
-    left = _prefixed(a, order).withColumnRenamed("size", "sa")
-    right = broadcast_if_small(_prefixed(b, order).select(F.col("token").alias("real"), F.col("size").alias("sb"), "gram"), 400_000)
-    near = F.abs(F.col("sa") - F.col("sb")) <= 3
-    pairs = left.join(right, "gram").filter(near).select("token", "real").distinct()
-    pairs = pairs.join(a, "token").join(broadcast_if_small(b.select(F.col("token").alias("real"), F.col("grams").alias("real_grams"))), "real")
-    shared = F.size(F.array_intersect("grams", "real_grams"))
-    pairs = pairs.filter(shared >= OVERLAP * (F.size("grams") + F.size("real_grams") - shared)).select("token", "real")
+    b = real.filter(F.length("token") > 1).select("token").mapInPandas(_gram_rows, grams)
+    a, b = written(a, "typed-grams"), written(b, "real-grams")
+    order = broadcast_if_small(written(b.groupBy("gram").agg(F.count("*").alias("freq")), "gram-order"))
+    around = lambda c: F.explode(F.sequence(F.col(c) - EDITS, F.col(c) + EDITS)).alias(c)
+    left = _prefixed(a, order).select("token", "gram", around("len"), "place").select("token", "gram", "len", around("place"))
+    right = _prefixed(b, order).select(F.col("token").alias("real"), "gram", "len", "place")
+    pairs = left.join(right, ["gram", "len", "place"]).select("token", "real").distinct()
     fuzzy = pairs.mapInPandas(_verify_tokens, "token string, real string, sim double")
     found = equal.unionByName(short).unionByName(fuzzy).groupBy("token", "real").agg(F.max("sim").alias("sim"))
     # a word is read in its nearest sense: one typing error away beats two
@@ -288,15 +294,25 @@ def candidates(typed: DataFrame, known: DataFrame) -> DataFrame:
     typed_tokens = typed.select("name", F.explode(F.array_distinct("toks")).alias("token"))
     has_initial = F.exists("toks", lambda t: F.length(t) == 1)
     alike = written(similar_tokens(typed_tokens.select("token").distinct(), keys.groupBy(F.col("real").alias("token")).agg(F.max("trusted").alias("trusted"))), "similar-tokens")
-    hits = typed_tokens.join(broadcast_if_small(alike, 200_000), "token").join(broadcast_if_small(keys, 200_000), "real")
-    met = hits.groupBy("name", "spelling").agg(F.max("n_core").alias("n_core"), F.count_distinct("real").alias("n_met"), F.max(F.col("n_core") == 0).alias("joined"))
-    flags = typed.select("name", "toks", has_initial.alias("initial"))
-    met = met.join(flags, "name").filter(F.col("joined") | (F.col("n_met") >= F.col("n_core") - F.when(F.col("initial"), 1).otherwise(0)))
-    return met.select("name", "toks", "spelling").join(broadcast_if_small(known.select("spelling", F.col("toks").alias("real_toks"))), "spelling")
-
-
-def _verify(weights: dict[str, float], unseen: float):
+    met = typed_tokens.join(broadcast_if_small(alike, 200_000), "token").groupBy("name").agg(F.collect_set("real").alias("met"))
+    flags = typed.select("name", "toks", has_initial.alias("initial")).join(met, "name")
+    # a spelling is asked for by its rarest word only, or its whole in one piece
+    often = keys.groupBy("real").agg(F.count("*").alias("often"))
+    rare = F.row_number().over(Window.partitionBy("spelling", F.col("n_core") == 0).orderBy("often", "real"))
+    ranked = keys.join(often, "real").withColumn("rank", rare)
+    core = ranked.filter("n_core > 0").groupBy("spelling").agg(F.collect_set("real").alias("core"), F.max("n_core").alias("n_core"))
+    doors = ranked.filter("rank <= 2 or n_core = 0").select("spelling", "real", F.when(F.col("n_core") == 0, 0).otherwise(F.col("rank")).alias("rank"))
+    doors = doors.join(core, "spelling")
+    hits = flags.withColumn("real", F.explode("met")).join(broadcast_if_small(doors, 200_000), "real").filter("rank <= 1 or initial")
+    n_met = F.size(F.array_intersect("met", "core"))
+    hits = hits.filter((F.col("rank") == 0) | (n_met >= F.col("n_core") - F.when(F.col("initial"), 1).otherwise(0)))
+    pairs = hits.select("name", "toks", "spelling").distinct()
+    return pairs.join(broadcast_if_small(known.select("spelling", F.col("toks").alias("real_toks"))), "spelling")
+
+
+def _verify(shared, unseen: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        weights = shared.value
         vocabulary = weights.__contains__
         weight = lambda t: weights.get(t, unseen)
         for b in batches:
@@ -371,7 +387,7 @@ def variants(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
     known = written(_with_tokens(spelled.groupBy("spelling").agg(F.max(F.col("spelling") == F.col("artist_name")).alias("trusted")), "spelling"), "known")
     weights, unseen = token_weights(catalogue)
     pairs = candidates(typed, known)
-    scored = spread(pairs).mapInPandas(_verify(weights, unseen), "name string, spelling string, score double, initial boolean")
+    scored = spread(pairs).mapInPandas(_verify(rows.sparkSession.sparkContext.broadcast(weights), unseen), "name string, spelling string, score double, initial boolean")
     scored = scored.join(broadcast_if_small(spelled), "spelling").withColumnRenamed("id", "artist_id")
     best = scored.groupBy("name", "artist_id", "artist_name").agg(F.max_by(F.struct("score", "initial"), F.struct("score", ~F.col("initial"))).alias("b"))
     best = best.withColumn("top", F.max("b.score").over(Window.partitionBy("name"))).filter(F.col("b.score") >= F.col("top") - MARGIN)

@@ -36,6 +36,8 @@ CAPACITY = 2048
 GROUP_ITEMS = 2000
 NODES = 20_000  # nodes of the search in one group
 FILLINGS = 12  # fillings tried for one container, fullest first
+STEPS = 480  # steps of the enumeration of one container's fillings
+BRANCHES = 4  # sizes tried at each step of it, largest first
 
 #: The public pattern that cuts texts ahead of byte-level merges (fixed value).
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -92,11 +94,11 @@ def fillings(open_sizes: list[int], room: int, most: int = FILLINGS) -> list[lis
         total = room - left
         if total not in found:
             found[total] = list(taken)
-        if left == 0 or steps > 40 * most:
+        if left == 0 or steps > STEPS:
             return True
         i = bisect_right(open_sizes, left, 0, hi) - 1
         tried = 0
-        while i >= 0 and tried < 4:
+        while i >= 0 and tried < BRANCHES:
             s = open_sizes[i]
             if s == 0:
                 break
@@ -188,7 +190,7 @@ def pack(sizes: list[int], capacity: int, nodes: int = NODES) -> list[list[int]]
 
 def _pack_group(capacity: int, nodes: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["doc_id", "piece"]).reset_index(drop=True)
+        pdf = pdf.sort_values(["doc_id", "piece", "n_tokens"]).reset_index(drop=True)
         container = [0] * len(pdf)
         for c, items in enumerate(pack(pdf.n_tokens.tolist(), capacity, nodes)):
             for i in items:
@@ -206,7 +208,9 @@ def packed(docs: DataFrame, capacity: int = CAPACITY, path: str = TOKENIZER, gro
     pieces = sized.select("doc_id", F.posexplode(F.expr(f"transform(sequence(0, cast(greatest(n_tokens - 1, 0) div {capacity} as int)), i -> least(n_tokens - i * {capacity}, {capacity}))")).alias("piece", "n_tokens"))
     full = pieces.filter(F.col("n_tokens") == capacity).withColumn("container", F.concat_ws("-", F.lit("full"), "doc_id", "piece"))
     rest = pieces.filter(F.col("n_tokens") < capacity)
-    # by hash of the row's own id: a retried task gives the same groups
-    rest = written(rest.withColumn("copy", F.monotonically_increasing_id()), "pieces").withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "copy"), F.lit(groups)).cast("int")).drop("copy")
+    # rows that repeat wholly are numbered, so that the group of a row depends on its content only
+    same = rest.groupBy("doc_id", "piece", "n_tokens").agg(F.count("*").alias("copies"))
+    rest = same.select("doc_id", "piece", "n_tokens", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
+    rest = rest.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", "n_tokens", "copy"), F.lit(groups)).cast("int")).drop("copy")
     out = rest.groupBy("grp").applyInPandas(_pack_group(capacity, nodes), "doc_id long, piece int, n_tokens long, container string")
     return full.select("doc_id", "piece", "n_tokens", "container").unionByName(out)

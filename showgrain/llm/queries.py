@@ -19,8 +19,8 @@ def venue_rows(spark: SparkSession, root: str) -> DataFrame:
 
 
 def p1_found(spark: SparkSession, root: str) -> DataFrame:
-    partner = table(spark, root, "partner_event").select(F.lit("partner_event").alias("source_table"), F.col("_ord").alias("record_id"), "description")
-    extracted = table(spark, root, "extracted_event").select(F.lit("extracted_event").alias("source_table"), F.col("id").alias("record_id"), "description")
+    partner = table(spark, root, "partner_event").select(F.lit("partner_event").alias("source_table"), F.col("_ord").alias("record_id"), "description", F.col("source_id").alias("source"))
+    extracted = table(spark, root, "extracted_event").select(F.lit("extracted_event").alias("source_table"), F.col("id").alias("record_id"), "description", F.col("source_id").alias("source"))
     return residue.residue(partner.unionByName(extracted))
 
 

@@ -1,18 +1,22 @@
 """Template residue and error-page text in description fields.
 
 1. Descriptions are brought to their consistent form and cut into segments (lines,
-   sentences, mark-up blocks).  Equal segments of all records are mined once.
-2. A fixed-depth prefix tree groups segments into message templates: token count, then
-   the first ``DEPTH`` tokens, then the leaf's templates by share of equal tokens;
-   differing tokens become ``<*>``.  Every task mines its own segments, so a hot segment
-   costs one entry, and the partial templates are merged leaf by leaf in a second round.
-3. Templates (not records) are classified by rules over their constant tokens, and the
-   verdict is joined back to segments and records.
+   sentences, mark-up blocks), once for each distinct description.
+2. A fixed-depth prefix tree groups distinct segments into message templates: token count,
+   then the first ``DEPTH`` tokens lead to a leaf; within it a token stays in the template
+   where at least ``CONSTANT`` of the leaf's segments have it at that place, else it becomes
+   ``<*>``.  The tree is a count of tokens by leaf and place, so it is the same in whatever order and
+   tasks the segments come, and a hot leaf is combined before it is shuffled.
+3. Templates are classified once, by what their segments are and where they stand: a template
+   is residue if its own constant text is, if nearly all its records hold residue spellings of
+   it (a misspelt member follows the others), or if it stands in many sources and nearly
+   nowhere but beside other residue (the rest of an error page).  The verdict is joined back to
+   segments and records; a segment that is residue as it stands is so in any template.
 4. Ordinary records are searched for unresolved slots ({{name}}, [INSERT DATE], %s ...)
    and printed missing values, whatever template they belong to.
 
 Defined results: rows without an id take no part; null, empty or blank descriptions are no cases; repeated rows are judged
-each; very long texts are cut into segments like any other; an empty table gives none.
+each; very long texts and segments are judged whole; an empty table gives none; a missing ``source`` counts as one source.
 """
 
 from __future__ import annotations
@@ -26,11 +30,13 @@ from pyspark.sql import functions as F
 
 from showgrain.functions.frames import frame
 from showgrain.functions.text import mixed_script_fold
-from showgrain.session import written
+from showgrain.session import broadcast_if_small, spread, written
 
 DEPTH = 2  # leading tokens that lead to a leaf
-SIMILAR = 0.6  # share of equal tokens for one template
-LONGEST = 40  # tokens of a segment that take part in its template
+CONSTANT = 0.1  # share of a leaf's segments, two at least, that have a token the template keeps
+KEPT = 0.6  # share of kept tokens of a template that is judged by its members
+AGREED = 0.9  # share of a template's records that must be residue by themselves
+LEAST_SOURCES = 5  # sources in which a companion of residue must stand
 
 # --- fixed values -----------------------------------------------------------------
 #: Names of fields as templates write them.
@@ -71,13 +77,13 @@ FILLER = [
     r"(your|event|add) (text|description|copy|content|title)( goes)? here", r"(text|description|copy|content|title|details) (goes|go) here", r"click (here )?to (edit|add).*", r"double-?click to edit.*",
     r"\[?(insert|enter|add|type|write|put|paste) (your |an? |the |event |short |some )*(short |event )*(text|description|copy|content|details|blurb|bio)( of your event)?( here)?\b.*", r"todo( ?:|\b).*", r"fixme\b.*", r"tbd ?: ?.*(copy|text|description).*", r"(copy|text|description|details) (to come|tk|tbd|tba|pending)", r"(write|replace|update) (the )?(copy|text|description)( here| before .*)?", r"reemplace este .*", r"ersetzen sie diesen.*", r"(x{3,} ?)?placeholder( ?x{3,})?", r"x{4,}( x{3,})*", r"asdf.*", r"test( test)+(?:[,.:;!-]* .*)?", r"test(?: (?:event|entry|post|listing|record|page))?[,.:;!-]* (?:please |do )?(?:ignore|not publish|delete).*", r"(?:please|bitte) (?:ignore|ignorieren|ignorar)(?: this .*)?", r"(?:do not publish|not for publication|draft only|nicht veröffentlichen|no publicar)\b.*", r"blah( blah)+",
 ]
-#: Whole texts that are a printed missing value.
-MISSING = r"((null|none|undefined|nan|nil|n/a|na|#error!|#n/a|#ref!|#value!|#name\?|#null!|\[object object\]|object object|missing|void|empty|\(null\)|<null>|-|--|\?+)[\s,;/|-]*)+"
+#: Printed missing values; a text of nothing else is one.
+MISSING_WORDS = "null none undefined nan nil n/a na #error! #n/a #ref! #value! #name? #null! [object_object] object_object missing void empty (null) <null>".split()
 # ----------------------------------------------------------------------------------
 
 _PAGE = re.compile(r"(?:" + "|".join(f"(?:{p})" for p in PAGE_MESSAGES) + r")[.!…]*$")
 _FILLER = re.compile(r"(?:" + "|".join(f"(?:{p})" for p in FILLER) + r")[.!…]*$")
-_MISSING = re.compile(MISSING + r"\.?$")
+_MISSING = frozenset(MISSING_WORDS)
 _MARKUP = re.compile(r"</?(?:" + "|".join(TAG_NAMES) + r")\b[^<>]*/?>", re.I)
 _CUT = re.compile(r"(?<=[.!?])\s+|[\n\r]+")
 _NUMBER = re.compile(r"\d+")
@@ -135,68 +141,36 @@ def has_slot(text: str) -> bool:
     return bool(_PRINTED.search(text) or _PRINTED_AFTER.search(text))
 
 
-def segments(text: str | None) -> list[str]:
-    """The consistent form of a text, cut at mark-up, line ends and sentence ends."""
-    if not text or not text.strip():
-        return []
-    t = _MARKUP.sub("\n", mixed_script_fold(text).replace("…", "..."))
+def segments(form: str) -> list[str]:
+    """A text in consistent form cut at mark-up, line ends and sentence ends."""
+    t = _MARKUP.sub("\n", form.replace("…", "..."))
     return [s.strip() for s in _CUT.split(t) if s.strip()]
 
 
-def _tokens(segment: str) -> list[str]:
-    return _NUMBER.sub("9", segment.lower()).split()[:LONGEST]
+def _plain(segment: str) -> str:
+    """A segment in lower case with numbers as 9 and single blanks."""
+    return " ".join(_NUMBER.sub("9", segment.lower()).split())
 
 
-def _leaf(tokens: list[str]) -> str:
-    return f"{len(tokens)}|" + " ".join(tokens[:DEPTH])
+def all_missing(plain: str) -> bool:
+    """True for a text of printed missing values only, however many."""
+    told = False
+    for word in re.split(r"[\s,;|]+", plain.replace("object object", "object_object").rstrip(".")):
+        parts = [word] if word in _MISSING else re.split(r"[-/]+", word)
+        for x in parts:
+            if x in _MISSING or x and not x.strip("?"):
+                told = True
+            elif x:
+                return False
+    return told
 
 
-def _place(templates: list[list[str]], tokens: list[str]) -> int:
-    """Index of the template that ``tokens`` join; the best of the leaf, or a new one."""
-    best, at = -1.0, -1
-    for i, t in enumerate(templates):
-        same = sum(a == b or a == "<*>" for a, b in zip(t, tokens, strict=True)) / max(len(t), 1)
-        if same > best:
-            best, at = same, i
-    if best >= SIMILAR:
-        templates[at] = [a if a == b else "<*>" for a, b in zip(templates[at], tokens, strict=True)]
-        return at
-    templates.append(list(tokens))
-    return len(templates) - 1
-
-
-def _mine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Partial templates of one task: segment -> (leaf, partial template)."""
-    tree: dict[str, list[list[str]]] = {}
-    for b in batches:
-        placed = []
-        for s in b.segment:
-            tokens = _tokens(s)
-            leaf = _leaf(tokens)
-            placed.append((leaf, _place(tree.setdefault(leaf, []), tokens)))
-        leaves = [p[0] for p in placed]
-        yield frame({"segment": b.segment, "leaf": leaves, "template": [" ".join(tree[leaf][i]) for leaf, i in placed]})
-
-
-def _merge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Merge partial templates; the input is sorted by leaf, so one leaf is held at a time."""
-    leaf, held = None, []
-    for b in batches:
-        out = []
-        for name, t in zip(b.leaf, b.template, strict=True):
-            if name != leaf:
-                leaf, held = name, []
-            tokens = t.split(" ")
-            out.append(" ".join(held[_place(held, tokens)]))
-        yield frame({"leaf": b.leaf, "template": b.template, "merged": out})
-
-
-def verdict(template: str) -> str:
-    """What a segment or template is: 'page', 'filler', 'missing' or 'copy'."""
-    t = template.strip(" \"'“”*·-–—|>").strip()
+def verdict(plain: str) -> str:
+    """What a segment or the constant text of a template is: 'page', 'filler', 'missing' or 'copy'."""
+    t = plain.strip(" \"'“”*·-–—|>").strip()
     if not t:
         return "copy"
-    if _MISSING.match(t):
+    if all_missing(t):
         return "missing"
     if _PAGE.match(t):
         return "page"
@@ -205,43 +179,83 @@ def verdict(template: str) -> str:
     return "copy"
 
 
-def _judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        yield b.assign(verdict=[verdict(t) for t in b.template])
+def _judge(column: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield b.assign(bad=[verdict(t) != "copy" for t in b[column]])
+
+    return run
 
 
 def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        t, i, s, slot, whole = [], [], [], [], []
-        for table, rid, text in zip(b.source_table, b.record_id, b.description, strict=True):
-            parts = segments(text)
-            if not parts:
-                continue
+        d, s, direct = [], [], []
+        for digest, text in zip(b.digest, b.description, strict=True):
             form = mixed_script_fold(text)
-            t.append(table), i.append(rid), s.append(list(dict.fromkeys(parts)))
-            slot.append(has_slot(form)), whole.append(verdict(" ".join(_tokens(" ".join(parts)))) == "missing")
-        yield frame({"source_table": t, "record_id": i, "segments": s, "slot": slot, "missing": whole})
-
-
-def mine_templates(parts: DataFrame) -> DataFrame:
-    """Distinct ``segment`` values with their ``template``: two rounds of the prefix tree."""
-    mined = written(parts.select("segment").distinct().mapInPandas(_mine, "segment string, leaf string, template string"), "segments")
-    merged = (
-        mined.select("leaf", "template").distinct().repartition("leaf").sortWithinPartitions("leaf", "template")
-        .mapInPandas(_merge, "leaf string, template string, merged string")
-    )
-    return mined.join(merged, ["leaf", "template"]).select("segment", F.col("merged").alias("template"))
+            parts = [_plain(x) for x in segments(form)]
+            if parts:
+                d.append(digest), s.append(list(dict.fromkeys(parts)))
+                direct.append(has_slot(form) or all_missing(" ".join(parts).strip(" \"'“”*·-–—|>")))
+        yield frame({"digest": d, "segments": s, "direct": direct})
+
+
+def mine_templates(segments_: DataFrame) -> DataFrame:
+    """Distinct ``segment`` values with their ``template`` and how many of its tokens were ``kept``."""
+    # signs around a token do not tell templates apart
+    tokens = F.transform(F.split("segment", " "), lambda t: F.regexp_replace(t, r"^\p{P}+(?=.)|(?<=.)\p{P}+$", ""))
+    cut = segments_.select("segment", tokens.alias("tokens")).withColumn("leaf", F.concat_ws("|", F.size("tokens").cast("string"), *[F.coalesce(F.get("tokens", F.lit(i)), F.lit("")) for i in range(DEPTH)]))
+    cut = written(cut, "segments")
+    # the first tokens are the leaf's own
+    long = cut.select("leaf", F.posexplode("tokens").alias("place", "token")).filter(F.col("place") >= DEPTH)
+    held = long.groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).filter("n > 1")
+    sizes = cut.groupBy("leaf").agg(F.count("*").alias("size")).filter("size > 1")
+    keep = held.join(sizes, "leaf").filter(F.col("n") >= CONSTANT * F.col("size")).groupBy("leaf").agg(F.collect_set(F.concat_ws(" ", F.col("place").cast("string"), "token")).alias("keep"))
+    # of a leaf at most 1 / CONSTANT tokens a place are kept
+    out = cut.join(keep, "leaf", "left")
+    stays = lambda t, i: (i < DEPTH) | F.coalesce(F.array_contains("keep", F.concat_ws(" ", i.cast("string"), t)), F.lit(False))
+    masked = F.transform("tokens", lambda t, i: F.when(stays(t, i), t).otherwise("<*>"))
+    out = out.withColumn("masked", masked)
+    # in a leaf of one segment the segment is its own template
+    known = F.col("keep").isNotNull()
+    return out.select("segment", F.when(known, F.array_join("masked", " ")).otherwise(F.col("segment")).alias("template"), F.when(known, F.size(F.filter("masked", lambda t: t != "<*>")) / F.size("masked")).otherwise(1.0).alias("kept"))
+
+
+def classified(parts: DataFrame, texts: DataFrame) -> DataFrame:
+    """``segment`` of all segments whose template, or which themselves, are residue.
+
+    parts: ``digest``, ``segment``; texts: ``digest``, ``direct``, ``n`` (records), ``sources``.
+    """
+    distinct = parts.groupBy("segment").agg(F.count("*").alias("n_texts"))
+    own = distinct.mapInPandas(_judge("segment"), "segment string, n_texts long, bad boolean")
+    mined = written(mine_templates(distinct).join(own, "segment"), "templates")
+    text = mined.select("template").distinct().mapInPandas(_judge("template"), "template string, bad boolean").filter("bad").select("template")
+    members = mined.groupBy("template").agg(F.sum("n_texts").alias("n"), F.sum(F.when(F.col("bad"), F.col("n_texts")).otherwise(0)).alias("n_bad"), F.min("kept").alias("kept"))
+    by_members = members.filter((F.col("kept") >= KEPT) & (F.col("n_bad") >= AGREED * F.col("n"))).select("template")
+    first = written(text.unionByName(by_members).distinct(), "bad-templates")
+    # companions: only templates of several texts can stand in several sources
+    often = members.filter(F.col("n") >= LEAST_SOURCES).select("template").join(first, "template", "left_anti")
+    bad = mined.join(first, "template", "left_semi").select("segment").unionByName(mined.filter("bad").select("segment")).distinct()
+    bad_text = parts.join(bad, "segment", "left_semi").select("digest").distinct().unionByName(texts.filter("direct").select("digest")).distinct().withColumn("beside", F.lit(True))
+    frequent = mined.join(often, "template").select("segment", "template")
+    stand = parts.join(frequent, "segment").select("template", "digest").distinct().join(texts.select("digest", "n", "sources"), "digest").join(bad_text, "digest", "left")
+    seen = stand.groupBy("template").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("beside"), F.col("n")).otherwise(0)).alias("n_beside"))
+    beside = seen.filter(F.col("n_beside") >= AGREED * F.col("n")).select("template")
+    wide = stand.join(beside, "template", "left_semi").select("template", F.explode("sources").alias("source")).distinct().groupBy("template").count().filter(F.col("count") >= LEAST_SOURCES).select("template")
+    return bad.unionByName(mined.join(wide, "template", "left_semi").select("segment")).distinct()
 
 
 def residue(rows: DataFrame) -> DataFrame:
-    """Records of ``rows`` (``source_table``, ``record_id``, ``description``) that hold residue."""
-    schema = "source_table string, record_id long, segments array<string>, slot boolean, missing boolean"
-    held = rows.select("source_table", "record_id", "description").filter("record_id is not null and coalesce(trim(description), '') <> ''")
-    cut = written(held.mapInPandas(_split, schema), "cut")
-    direct = cut.filter("slot or missing").select("source_table", "record_id")
-    parts = cut.filter("not (slot or missing)").select("source_table", "record_id", F.explode("segments").alias("segment"))
-    templates = written(mine_templates(parts), "templates")
-    judged = templates.select("template").distinct().mapInPandas(_judge, "template string, verdict string").filter("verdict <> 'copy'")
-    bad = templates.join(judged, "template", "left_semi").select("segment")
-    found = parts.join(bad, "segment", "left_semi").select("source_table", "record_id")
-    return direct.union(found).distinct()
+    """Records of ``rows`` (``source_table``, ``record_id``, ``description`` and, if known, ``source``) that hold residue."""
+    source = F.coalesce("source", F.lit("")) if "source" in rows.columns else F.lit("")
+    held = rows.select("source_table", "record_id", "description", source.alias("source")).filter("record_id is not null and coalesce(trim(description), '') <> ''")
+    held = held.withColumn("digest", F.md5("description"))
+    # descriptions repeat from batch to batch: each is folded and cut once
+    once = held.groupBy("digest", "source").agg(F.min("description").alias("description"), F.count("*").alias("n")).groupBy("digest")
+    # of the sources of one text so many as the rule asks for are enough
+    once = written(once.agg(F.min("description").alias("description"), F.sum("n").alias("n"), F.slice(F.sort_array(F.collect_set("source")), 1, LEAST_SOURCES).alias("sources")), "texts")
+    cut = written(spread(once.select("digest", "description")).mapInPandas(_split, "digest string, segments array<string>, direct boolean"), "cut")
+    texts = cut.select("digest", "direct").join(once.select("digest", "n", "sources"), "digest")
+    parts = cut.select("digest", F.explode("segments").alias("segment"))
+    bad = classified(parts, texts)
+    found = written(cut.filter("direct").select("digest").unionByName(parts.join(bad, "segment", "left_semi").select("digest")).distinct(), "found")
+    return held.select("source_table", "record_id", "digest").join(broadcast_if_small(found), "digest", "left_semi").select("source_table", "record_id").distinct()
