@@ -84,10 +84,10 @@ def fingerprint(title: Column | str, venue: Column | str, start: Column | str, t
 
 
 def similarity(a: Column | str, b: Column | str) -> Column:
-    """1 - edit distance / longer length; 1 for equal strings, 0 where one is empty."""
+    """1 - edit distance / longer length; 1 for equal strings (two empty ones too), 0 where one is empty."""
     a, b = _col(a), _col(b)
     longer = F.greatest(F.length(a), F.length(b))
-    return F.when((a == "") | (b == ""), 0.0).when(a == b, 1.0).otherwise(1 - F.levenshtein(a, b) / longer)
+    return F.when(a == b, 1.0).when((a == "") | (b == ""), 0.0).otherwise(1 - F.levenshtein(a, b) / longer)
 
 
 def preference(confidence, ticket, image, description, start) -> Column:

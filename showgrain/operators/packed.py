@@ -1,15 +1,17 @@
 """Several values packed in one field: split into one row per value, position kept.
 
-Segmentation is guided by a dictionary of known whole values.  Only values that hold a
-list sign themselves can mislead a split, so only those enter a multi-pattern automaton
-(Aho-Corasick); a delimiter inside one of its hits is protected, as is one inside quotes.
-The remaining delimiters cut the text into pieces, and dynamic programming picks the
-cheapest cover of the pieces by values: a known value is free, a piece of two or more
-words is cheap, a single word dear, and pieces may be rejoined over weak delimiters
-(comma, &, and, /) where one of them is a single word ("Draydale, Dorothy").
-
-Up to ``DICTIONARY_BOUND`` such values one automaton is broadcast.  Beyond it each row is
-joined with just the values whose first word it holds, which protects the same signs.
+Segmentation is guided by a dictionary of known whole values.  A multi-pattern automaton
+(Aho-Corasick) over all of them finds those a text holds.  A delimiter inside a hit that has a
+list sign of its own is protected, as is one inside quotes.  The remaining delimiters cut
+the text into pieces, and dynamic programming picks the cheapest cover of the pieces by
+values: a known or quoted value is free, a piece of two or more words is cheap, a single unknown
+word dear, and up to ``PARTS`` pieces may be rejoined over weak delimiters (comma, &, and, /) to
+a known value, for nothing, or where one of them is a single word ("Draydale, Dorothy"): the
+parts of one name, of which a name has no more than that.
+
+Distinct texts are split, not rows.  Up to ``DICTIONARY_BOUND`` values one automaton is
+broadcast.  Beyond it each text is joined with just the values whose first word it holds and
+which stand in its consistent form, so both ways give the same rows.
 
 Defined results: rows without an id take no part; null and empty texts give no row; empty entries and closing words ("and
 more") are no values; a repeated value keeps each of its positions; very long texts are
@@ -28,8 +30,11 @@ from pyspark.sql import functions as F
 
 from showgrain.functions.frames import frame
 from showgrain.functions.text import mixed_script_fold
+from showgrain.session import written
 
 DICTIONARY_BOUND = 200_000
+PARTS = 4  # pieces that a name written in parts can have
+SALTS = 16
 
 # --- fixed values -----------------------------------------------------------------
 #: Words at the end of a list that name nobody.
@@ -59,12 +64,13 @@ def has_sign(value: str) -> bool:
 
 
 class Known:
-    """Known values with list signs, found in a text by one automaton."""
+    """Known values, found in a text by one automaton; ``spans`` tells those with a list sign."""
 
     def __init__(self, values: list[str]):
         import ahocorasick
 
         self.values = {v.lower() for v in values if v}
+        self.signed = {v for v in self.values if has_sign(v)}
         self.automaton = ahocorasick.Automaton()
         for v in self.values:
             self.automaton.add_word(v, v)
@@ -78,6 +84,8 @@ class Known:
             return []
         hits = []
         for end, v in self.automaton.iter(low):
+            if v not in self.signed:
+                continue
             a, b = end - len(v) + 1, end + 1
             if (a == 0 or not (low[a - 1].isalnum() and low[a].isalnum())) and (b == len(low) or not (low[b].isalnum() and low[b - 1].isalnum())):
                 hits.append((a, b))
@@ -165,7 +173,10 @@ def _cover(t: str, pieces: list[tuple[int, int]], signs: list[str], quoted: list
         cost = 0.0 if free[i] or exact[i] else 1.0 if counts[i] >= 2 else 3.0
         options = [(best[i][0] + cost, i)]
         lone = counts[i] < 2 and not exact[i] and not free[i]
-        for i in range(j - 2, max(-1, j - 5), -1):
+        for i in range(j - 2, max(-1, j - PARTS - 1), -1):
+            if _clean(t[pieces[i][0] : pieces[j - 1][1]]).lower() in known.values:
+                options.append((best[i][0], i))
+                continue
             if signs[i] != "weak" or free[i] or free[j - 1] or exact[i]:
                 break
             lone |= counts[i] < 2
@@ -181,9 +192,24 @@ def _cover(t: str, pieces: list[tuple[int, int]], signs: list[str], quoted: list
 
 
 def dictionary(values: DataFrame) -> DataFrame:
-    """Distinct known values (column ``value``) that hold a list sign."""
-    signs = r"(?i)[,;|/+&\n·•]|\s(and|x|with|w|feat|ft|vs?|featuring)\.?\s"
-    return values.filter(F.col("value").isNotNull() & F.trim("value").rlike(signs)).select(F.trim("value").alias("value")).distinct()
+    """Distinct known values (column ``value``) that are not blank."""
+    return values.filter(F.trim("value") != "").select(F.trim("value").alias("value")).distinct()
+
+
+_ANY_WORD = re.compile(r"[^\W_]+")
+
+
+def _first_word(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for b in batches:
+        words = [_ANY_WORD.search(v.lower()) for v in b.value]
+        yield b.assign(low=b.value.str.lower(), word=[m[0] if m else "" for m in words])
+
+
+def _formed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The form in which a text is searched, and its words."""
+    for b in batches:
+        low = [mixed_script_fold(t).lower() for t in b.text]
+        yield frame({"digest": b.digest, "low": low, "words": [["", *dict.fromkeys(_ANY_WORD.findall(x))] for x in low]})
 
 
 def unpack(rows: DataFrame, values: DataFrame, bound: int = DICTIONARY_BOUND) -> DataFrame:
@@ -192,40 +218,37 @@ def unpack(rows: DataFrame, values: DataFrame, bound: int = DICTIONARY_BOUND) ->
     rows: ``source_table``, ``record_id``, ``text``, ``is_title``; values: ``value``.
     Result: ``source_table``, ``record_id``, ``item_pos`` from 1, ``item_value``.
     """
-    schema = "source_table string, record_id long, item_pos int, item_value string"
-    held = rows.filter("record_id is not null and coalesce(trim(text), '') <> ''").select("source_table", "record_id", "text", "is_title")
+    held = rows.filter("record_id is not null and coalesce(trim(text), '') <> ''").select("source_table", "record_id", "text", F.coalesce("is_title", F.lit(False)).alias("is_title"))
+    held = held.withColumn("digest", F.md5(F.concat_ws("|", F.col("is_title").cast("string"), "text")))
+    texts = held.groupBy("digest").agg(F.min("text").alias("text"), F.min("is_title").alias("is_title"))
     guard = dictionary(values)
+    schema = "digest string, items array<string>"
     if guard.limit(bound + 1).count() <= bound:
         shared = rows.sparkSession.sparkContext.broadcast(sorted(r.value for r in guard.collect()))
-        return held.mapInPandas(_split_with(shared), schema)
-    # only the values whose first word the row holds can stand in it
-    word = r"[\p{L}\p{N}]+"
-    first = guard.select("value", F.lower(F.regexp_extract("value", word, 0)).alias("w"))
-    keyed = held.withColumn("w", F.explode(F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(f"({word})")))))
-    near = keyed.join(first, "w").filter(F.contains(F.lower("text"), F.lower("value"))).groupBy("source_table", "record_id", "text").agg(F.collect_set("value").alias("near"))
-    return held.join(near, ["source_table", "record_id", "text"], "left").mapInPandas(_split_near, schema)
-
-
-def _emit(b: pd.DataFrame, lists: Iterator[list[str]]) -> pd.DataFrame:
-    t, r, p, v = [], [], [], []
-    for table, rid, items in zip(b.source_table, b.record_id, lists, strict=True):
-        if len(items) > 1:
-            t += [table] * len(items)
-            r += [rid] * len(items)
-            p += range(1, len(items) + 1)
-            v += items
-    return frame({"source_table": t, "record_id": r, "item_pos": p, "item_value": v})
+        found = texts.mapInPandas(_split_with(shared), schema)
+    else:
+        texts = written(texts, "texts")
+        # only the values whose first word the text holds can stand in it
+        known = guard.mapInPandas(_first_word, "value string, low string, word string")
+        asked = texts.select("digest", "text").mapInPandas(_formed, "digest string, low string, words array<string>")
+        met = asked.withColumn("word", F.explode("words")).select("digest", F.col("low").alias("form"), "word").join(known, "word").filter(F.contains("form", "low"))
+        near = met.groupBy("digest").agg(F.collect_set("value").alias("near"))
+        found = texts.join(near, "digest", "left").mapInPandas(_split_near, schema)
+    # one title may stand in a third of all rows: the join back is salted
+    found = written(found.filter(F.size("items") > 1), "unpacked").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    back = held.select("source_table", "record_id", "digest").withColumn("salt", F.pmod(F.xxhash64("source_table", "record_id"), F.lit(SALTS)).cast("int")).join(found, ["digest", "salt"])
+    return back.select("source_table", "record_id", F.posexplode("items").alias("p", "item_value")).select("source_table", "record_id", (F.col("p") + 1).alias("item_pos"), "item_value")
 
 
 def _split_with(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = Known(shared.value)
         for b in batches:
-            yield _emit(b, (split_values(x, known, title) for x, title in zip(b.text, b.is_title, strict=True)))
+            yield frame({"digest": b.digest, "items": [split_values(x, known, title) for x, title in zip(b.text, b.is_title, strict=True)]})
 
     return run
 
 
 def _split_near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        yield _emit(b, (split_values(x, Known([] if near is None else list(near)), title) for x, title, near in zip(b.text, b.is_title, b.near, strict=True)))
+        yield frame({"digest": b.digest, "items": [split_values(x, Known([] if near is None else list(near)), title) for x, title, near in zip(b.text, b.is_title, b.near, strict=True)]})

@@ -72,18 +72,34 @@ def token_overlap(df: DataFrame, dim: DataFrame, name: str, dim_id: str, dim_nam
     return hits.withColumn("n", F.row_number().over(w)).filter("n = 1").drop("n")
 
 
-def contains_pattern(df: DataFrame, patterns: DataFrame, text: str) -> DataFrame:
-    """Rows with the best pattern their text contains: longest, +20 if it opens the text.
+#: Lengths of the pieces by which texts and patterns meet, longest first.
+PIECES = (16, 8, 4, 2, 1)
 
-    patterns: ``series_id``, ``pattern``; a bounded dimension, checked before it is broadcast.
-    Beyond the bound, texts meet patterns by the pattern's first word instead.
+
+def _pieces(text: str, n: int) -> Column:
+    """All pieces of ``n`` characters of a text that is not empty."""
+    at = F.filter(F.sequence(F.lit(1), F.length(text)), lambda i: i <= F.length(text) - (n - 1))
+    return F.transform(at, lambda i: F.substring(F.col(text), i, F.lit(n)))
+
+
+def contains_pattern(df: DataFrame, patterns: DataFrame, text: str, bound: int = 5000) -> DataFrame:
+    """Rows with the patterns their text contains, and a score: the length, +20 if it opens the text.
+
+    patterns: ``series_id``, ``pattern``; broadcast up to ``bound`` of them.  Beyond, a pattern is
+    met by its opening piece of the longest of ``PIECES`` that it fills, wherever in the text
+    that stands, so both ways give the same rows.  Empty patterns stand in no text.
     """
-    side = patterns.select("series_id", "pattern")
-    if side.limit(5001).count() <= 5000:
-        pairs = df.join(F.broadcast(side), F.contains(F.col(text), F.col("pattern")))
+    side = patterns.select("series_id", "pattern").filter("pattern <> ''")
+    holds = F.contains(F.col(text), F.col("pattern"))
+    if side.limit(bound + 1).count() <= bound:
+        pairs = df.join(F.broadcast(side), holds)
     else:
-        keyed = df.withColumn("_w", F.explode(F.array_distinct(F.split(text, " "))))
-        pairs = keyed.join(side.withColumn("_w", F.substring_index("pattern", " ", 1)), "_w").filter(F.contains(F.col(text), F.col("pattern"))).drop("_w")
+        length = F.length("pattern")
+        size = F.coalesce(*[F.when(length >= n, F.lit(n)) for n in PIECES])
+        keyed = side.withColumn("_piece", F.left("pattern", size))
+        used = [r.n for r in keyed.select(F.length("_piece").alias("n")).distinct().collect()]  # at most five lengths
+        pieces = F.flatten(F.array(*[_pieces(text, n) for n in used]))
+        pairs = df.filter(F.length(text) > 0).withColumn("_piece", F.explode(F.array_distinct(pieces))).join(keyed, "_piece").filter(holds).drop("_piece")
     return pairs.withColumn("score", F.length("pattern") + F.when(F.startswith(F.col(text), F.col("pattern")), 20).otherwise(0))
 
 

@@ -9,7 +9,7 @@ from showgrain.functions import columns as C
 from showgrain.functions import times as X
 from showgrain.operators import collapse, generate
 from showgrain.operators import relational as R
-from showgrain.plans.reference import AS_OF, AS_OF_S, NORM, L, as_of, dated, listings
+from showgrain.plans.reference import _SCORE, _TK, AS_OF, AS_OF_S, NORM, L, as_of, listings
 from showgrain.session import table
 
 QUERIES: dict = {}
@@ -26,13 +26,14 @@ def query(sql: str | None = None):
     return add
 
 
-_TOK = "list_distinct(list_filter(string_split(" + NORM + ", ' '), lambda w: w <> '' AND w <> 'the'))"
+_WORDS = "list_filter(string_split({0}, ' '), lambda w: length(w) > 1)"
 
 
 @query(f"""WITH t AS (SELECT DISTINCT {NORM.format('extracted_band_name')} AS target FROM enriched_partner_event WHERE extracted_band_name IS NOT NULL),
-a AS (SELECT id, {NORM.format('name')} AS name FROM artist), tt AS (SELECT target, {_TOK.format('target')} AS tt FROM t WHERE target <> ''), aa AS (SELECT id, name, {_TOK.format('name')} AS nt FROM a WHERE name <> ''),
-p AS (SELECT target, id, CASE WHEN target = name THEN 100 WHEN len(list_intersect(tt, nt)) = len(nt) AND len(nt) = len(tt) THEN 90 WHEN contains(' ' || target || ' ', ' ' || name || ' ') OR contains(' ' || name || ' ', ' ' || target || ' ') THEN 85
- WHEN len(list_intersect(tt, nt)) >= 0.8 * greatest(len(nt), len(tt)) THEN 70 ELSE 0 END AS tier FROM tt, aa WHERE list_has_any(tt, nt))
+tt AS (SELECT target, {_WORDS.format('target')} AS tt FROM t WHERE target <> ''), a AS (SELECT id, {NORM.format('name')} AS name FROM artist), aa AS (SELECT id, name, {_WORDS.format('name')} AS nt FROM a WHERE length(name) >= 3 AND NOT regexp_matches(name, '\\d\\s*[ap]m\\b')),
+p AS (SELECT target, id, len(list_filter(tt, lambda w: list_contains(nt, w))) / nullif(len(tt), 0) AS share, CASE WHEN target = name THEN 100
+ WHEN least(length(target), length(name)) >= 5 AND (contains(' ' || target || ' ', ' ' || name || ' ') OR contains(' ' || name || ' ', ' ' || target || ' ')) THEN 85
+ WHEN share >= 1 AND len(tt) >= 2 THEN 90 WHEN share >= 0.8 AND len(tt) >= 2 THEN 70 ELSE 0 END AS tier FROM tt, aa)
 SELECT target, id AS artist_id, tier FROM p WHERE tier >= 70 QUALIFY row_number() OVER (PARTITION BY target ORDER BY tier DESC, id) = 1""")
 def tiered_artists(spark: SparkSession, root: str) -> DataFrame:
     t = table(spark, root, "enriched_partner_event").filter("extracted_band_name is not null").select(C.normalize_title("extracted_band_name").alias("target")).distinct()
@@ -41,12 +42,35 @@ def tiered_artists(spark: SparkSession, root: str) -> DataFrame:
     return best.select("target", "artist_id", "tier")
 
 
-@query()
+def _waiting(spark, root) -> DataFrame:
+    df = listings(spark, root).filter("venue_id is not null")
+    rows = df.select(
+        F.col("_ord").alias("ord"), F.col("venue_id").alias("venue"), C.normalize_title("title").alias("form"), F.col("s").alias("start"), C.ticket_key("ticket_url").alias("ticket"), C.no_value("fingerprint").alias("fingerprint"),
+        C.preference("confidence", "ticket_url", "image_url", "description", "start").alias("score"),
+    )
+    return collapse.waiting(rows)
+
+
+_WAITING = f"""{L}, r AS (SELECT _ord AS ord, venue_id AS venue, coalesce({NORM.format('title')}, '') AS form, s, {_TK} AS ticket, CASE WHEN trim(fingerprint) <> '' THEN fingerprint END AS fp, {_SCORE} AS score FROM listings WHERE venue_id IS NOT NULL),
+o AS (SELECT *, row_number() OVER (PARTITION BY venue ORDER BY ord) AS n FROM r),
+w AS (SELECT venue, n, ord, score, ord AS slot, [{{'opener': ord, 'form': form, 's': s, 'ticket': ticket, 'fp': fp, 'score': score}}] AS held FROM o WHERE n = 1
+ UNION ALL SELECT venue, n, ord, score, CASE WHEN pos IS NULL THEN ord ELSE held[pos].opener END,
+  CASE WHEN pos IS NULL THEN list_append(held, {{'opener': ord, 'form': form, 's': s, 'ticket': ticket, 'fp': fp, 'score': score}})
+   WHEN score > held[pos].score THEN list_concat(list_append(held[: pos - 1], {{'opener': held[pos].opener, 'form': form, 's': s, 'ticket': ticket, 'fp': fp, 'score': score}}), held[pos + 1 :]) ELSE held END
+  FROM (SELECT o.*, w.held, nullif(list_position(list_transform(w.held, lambda x: coalesce(x.fp = o.fp, false) OR x.form = o.form AND (coalesce(x.ticket = o.ticket, false) OR coalesce(abs(x.s - o.s) <= 64800 OR x.s // 86400 = o.s // 86400, false))), true), 0) AS pos
+   FROM w JOIN o ON o.venue = w.venue AND o.n = w.n + 1)),
+f AS (SELECT ord, venue, slot, row_number() OVER (PARTITION BY slot ORDER BY score DESC, ord) = 1 AS kept FROM w)"""
+
+
+@query(f"WITH RECURSIVE {_WAITING} SELECT ord, slot, kept FROM f")
 def waiting_collapsed(spark, root):
     """Waiting rows collapsed in order: equal fingerprints whatever their title, equal ticket and title whatever their start."""
-    df = dated(spark, root).filter("venue_id is not null")
-    rows = df.select(F.col("_ord").alias("ord"), F.col("venue_id").alias("venue"), C.normalize_title("title").alias("form"), F.col("s").alias("start"), C.ticket_key("ticket_url").alias("ticket"), C.no_value("fingerprint").alias("fingerprint"))
-    return collapse.waiting(rows)
+    return _waiting(spark, root)
+
+
+@query(f"WITH RECURSIVE {_WAITING} SELECT count(*) FILTER (kept) AS kept, count(*) FILTER (NOT kept) AS rejected FROM f")
+def waiting_counts(spark, root):
+    return _waiting(spark, root).agg(F.count_if("kept").alias("kept"), F.count_if(~F.col("kept")).alias("rejected"))
 
 
 @query(f"""WITH {L}, v AS (SELECT source_id, venue_name, title, s FROM listings) SELECT source_id, count(*) AS n, count(DISTINCT venue_name) AS venues, count(*) FILTER (s >= {AS_OF_S}) AS upcoming,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from showgrain.operators import packed, timestamps
+from showgrain.plans.startsql import P5_FOUND
 from showgrain.session import broadcast_if_small, table
 
 
@@ -30,4 +31,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p5_found": P5_FOUND}

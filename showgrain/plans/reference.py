@@ -9,10 +9,10 @@ from showgrain.functions import columns as C
 from showgrain.functions import times as X
 from showgrain.operators import dedup, fuzzy, generate, merge, timestamps
 from showgrain.operators import relational as R
-from showgrain.session import broadcast_if_small, table
+from showgrain.plans.startsql import STARTS
+from showgrain.session import broadcast_if_small, table, written
 
 AS_OF = "2026-10-15 00:00:00"
-CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{3})?Z$"
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -33,22 +33,14 @@ def as_of() -> Column:
 
 
 def listings(spark: SparkSession, root: str) -> DataFrame:
-    """partner_event rows whose start is in form, with ``start`` (timestamp) and ``s`` (seconds)."""
-    df = table(spark, root, "partner_event").filter(F.col("starts_at").rlike(CANONICAL))
-    df = df.withColumn("start", F.try_to_timestamp(F.substring("starts_at", 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")))
-    return df.withColumn("s", F.unix_timestamp("start"))
-
-
-def dated(spark: SparkSession, root: str) -> DataFrame:
-    """All partner_event rows with an id, with ``start`` and ``s`` as ``listings``, however the start is written; null where none can be told."""
+    """All partner_event rows with an id, with ``start`` (timestamp) and ``s`` (seconds), however the start is written; null where none can be told."""
     df = table(spark, root, "partner_event").filter("_ord is not null")
     told = timestamps.starts(df, table(spark, root, "venue_event_sources")).groupBy("_ord").agg(F.min("instant").alias("s"))
     return df.join(told, "_ord", "left").withColumn("start", F.timestamp_seconds("s"))
 
 
-#: ``listings`` in SQL, as a CTE body.
-L = """listings AS (SELECT *, epoch(strptime(substr(starts_at, 1, 19), '%Y-%m-%dT%H:%M:%S'))::BIGINT AS s FROM partner_event
-  WHERE regexp_matches(starts_at, '^\\d{4}-\\d{2}-\\d{2}T\\d{2}:\\d{2}:\\d{2}(\\.\\d{3})?Z$'))"""
+#: ``listings`` in SQL, as CTE bodies.
+L = STARTS.strip() + ",\nlistings AS (SELECT p.*, told.s FROM partner_event p LEFT JOIN told USING (_ord))"
 NORM = "trim(regexp_replace(regexp_replace(lower({0}), '[^a-z0-9 ]', '', 'g'), ' +', ' ', 'g'))"
 AS_OF_S = f"epoch(TIMESTAMP '{AS_OF}')::BIGINT"
 
@@ -120,10 +112,10 @@ def slugify(spark, root):
     return table(spark, root, "documents").filter("text is not null").select("doc_id", C.slugify("text", 80).alias("slug"))
 
 
-@query("""SELECT _ord, trim(regexp_replace(regexp_replace(regexp_replace(description, '<!--.*?-->', ' ', 'gs'), '<[a-zA-Z/!][^>]*>', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g')) AS plain
-FROM partner_event WHERE description IS NOT NULL AND NOT regexp_matches(lower(description), '<(script|style)')""")
+@query("""SELECT _ord, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(description, '<(script|style)\\b.*?</(script|style)\\s*>', ' ', 'gis'), '<!--.*?-->', ' ', 'gs'), '<[a-zA-Z/!][^>]*>', ' ', 'g'), '[ \\t\\n\\r]+', ' ', 'g')) AS plain
+FROM partner_event WHERE description IS NOT NULL""")
 def strip_html(spark, root):
-    df = table(spark, root, "partner_event").filter("description is not null").filter(~F.lower("description").rlike("<(script|style)"))
+    df = table(spark, root, "partner_event").filter("description is not null")
     return df.select("_ord", C.strip_html("description").alias("plain"))
 
 
@@ -205,17 +197,42 @@ def known_ids_out(spark, root):
 
 
 def _keys(df: DataFrame, ident: str) -> DataFrame:
-    return df.select(ident, F.col("venue_id").alias("venue"), F.nullif(F.trim("source_event_id"), F.lit("")).alias("sid"), F.nullif(C.normalize_title("title"), F.lit("")).alias("form"), C.start_minute("start").alias("minute"), F.nullif(F.trim("fingerprint"), F.lit("")).alias("fingerprint"), *([F.col("kind")] if "kind" in df.columns else []))
+    """What rows are recognised by; rows without a title have no title form."""
+    more = [F.col("kind")] if "kind" in df.columns else [F.col("confidence")]
+    return df.select(
+        ident, F.col("venue_id").alias("venue"), F.nullif(F.trim("source_event_id"), F.lit("")).alias("sid"), C.normalize_title("title").alias("form"), F.unix_timestamp("start").alias("start"),
+        C.ticket_key("ticket_url").alias("ticket"), F.nullif(F.trim("fingerprint"), F.lit("")).alias("fingerprint"), *more,
+    )
 
 
-@query(f"""WITH {L}, n AS (SELECT _ord AS ord, venue_id AS venue, nullif(trim(source_event_id), '') AS sid, nullif({NORM.format('title')}, '') AS form, s // 60 AS m, nullif(trim(fingerprint), '') AS fp FROM listings),
-k AS (SELECT id, kind, venue_id AS venue, nullif(trim(source_event_id), '') AS sid, nullif({NORM.format('title')}, '') AS form, epoch(starts_at)::BIGINT // 60 AS m, nullif(trim(fingerprint), '') AS fp FROM existing_event),
-h AS (SELECT ord, k.kind, k.id, 0 AS r, 'source_id' AS by_ FROM n JOIN k USING (venue, sid) UNION ALL SELECT ord, k.kind, k.id, 1, 'title_start' FROM n JOIN k USING (venue, form, m) UNION ALL SELECT ord, k.kind, k.id, 2, 'fingerprint' FROM n JOIN k USING (venue, fp))
-SELECT ord, id AS known_id, by_ AS matched_by FROM h QUALIFY row_number() OVER (PARTITION BY ord ORDER BY r, kind, id) = 1""")
-def stable_cascade(spark, root):
+def _sides(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     new = _keys(listings(spark, root), "_ord").withColumnRenamed("_ord", "ord")
-    known = _keys(table(spark, root, "existing_event").withColumn("start", F.col("starts_at")), "id")
-    return dedup.cascade(new, known)
+    return new, _keys(table(spark, root, "existing_event").withColumn("start", F.col("starts_at")), "id")
+
+
+_SIDES = f"""n AS (SELECT _ord AS ord, venue_id AS venue, nullif(trim(source_event_id), '') AS sid, {NORM.format('title')} AS form, s, {_TK} AS ticket, nullif(trim(fingerprint), '') AS fp, confidence FROM listings),
+k AS (SELECT id, kind, venue_id AS venue, nullif(trim(source_event_id), '') AS sid, {NORM.format('title')} AS form, epoch(starts_at)::BIGINT AS s, {_TK} AS ticket, nullif(trim(fingerprint), '') AS fp FROM existing_event),
+h AS (SELECT ord, k.kind, k.id, 0 AS r, 'source_id' AS by_ FROM n JOIN k USING (venue, sid)
+ UNION ALL SELECT ord, k.kind, k.id, 1, 'exact' FROM n JOIN k ON n.venue = k.venue AND (n.fp = k.fp OR n.form = k.form AND (abs(n.s - k.s) <= 64800 OR n.s // 86400 = k.s // 86400))),
+stable AS (SELECT ord, id AS known_id, by_ AS matched_by FROM h QUALIFY row_number() OVER (PARTITION BY ord ORDER BY r, kind, id) = 1)"""
+
+
+@query(f"WITH {L}, {_SIDES} SELECT * FROM stable")
+def stable_cascade(spark, root):
+    return dedup.cascade(*_sides(spark, root))
+
+
+@query(f"""WITH {L}, {_SIDES}, p AS (SELECT ord, k.kind, k.id, coalesce(n.ticket, '') = coalesce(k.ticket, '') OR n.ticket IS NULL OR k.ticket IS NULL AS fits,
+  CASE WHEN coalesce(n.form, '') = coalesce(k.form, '') THEN 1.0::DOUBLE WHEN coalesce(n.form, '') = '' OR coalesce(k.form, '') = '' THEN 0.0::DOUBLE ELSE 1 - levenshtein(n.form, k.form)::DOUBLE / greatest(length(n.form), length(k.form)) END AS score
+  FROM n JOIN k ON n.venue = k.venue AND (abs(n.s - k.s) <= 64800 OR n.s // 86400 = k.s // 86400)),
+b AS (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY ord ORDER BY score DESC, kind, id) = 1),
+d AS (SELECT n.ord, b.id, b.score, CASE WHEN score >= 0.85 AND fits THEN 'matched_existing' WHEN coalesce(score, -1) >= 0.55 OR coalesce(confidence, 0) < 0.55 THEN 'needs_review' ELSE 'new' END AS status FROM n LEFT JOIN b USING (ord) WHERE ord NOT IN (SELECT ord FROM stable))
+SELECT ord, CASE WHEN status <> 'new' THEN id END AS known_id, round(score, 6) AS score, status FROM d""")
+def fuzzy_decision(spark, root):
+    """What is to be done with rows that no stable key matched."""
+    new, known = (written(d, "keys") for d in _sides(spark, root))
+    rest = new.join(dedup.cascade(new, known).select("ord"), "ord", "left_anti")
+    return dedup.fuzzy_decision(rest, known, C.similarity).withColumn("score", F.round("score", 6))
 
 
 _ASCII = "trim(regexp_replace(lower({0}), '[^a-z0-9 ]', '', 'g'))"
@@ -254,7 +271,7 @@ def series_contains(spark, root):
 
 @query(f"""WITH {L}, n AS (SELECT _ord, venue_id, s, {NORM.format('title')} AS form FROM listings WHERE venue_id IS NOT NULL AND title IS NOT NULL),
 k AS (SELECT id, venue_id, epoch(starts_at)::BIGINT AS s2, {NORM.format('title')} AS form2 FROM existing_event WHERE venue_id IS NOT NULL AND title IS NOT NULL),
-p AS (SELECT _ord, id, CASE WHEN form = '' OR form2 = '' THEN 0.0::DOUBLE WHEN form = form2 THEN 1.0::DOUBLE ELSE 1 - levenshtein(form, form2)::DOUBLE / greatest(length(form), length(form2)) END AS score
+p AS (SELECT _ord, id, CASE WHEN form = form2 THEN 1.0::DOUBLE WHEN form = '' OR form2 = '' THEN 0.0::DOUBLE ELSE 1 - levenshtein(form, form2)::DOUBLE / greatest(length(form), length(form2)) END AS score
  FROM n JOIN k USING (venue_id) WHERE abs(s - s2) <= 64800 OR s // 86400 = s2 // 86400)
 SELECT _ord, id AS existing_id, round(score, 6) AS score, CASE WHEN score >= 0.85 THEN 'matched' WHEN score >= 0.55 THEN 'needs_review' ELSE 'new' END AS status FROM p
 QUALIFY row_number() OVER (PARTITION BY _ord ORDER BY score DESC, id) = 1""")
@@ -282,14 +299,15 @@ def token_overlap(spark, root):
     return R.token_overlap(table(spark, root, "partner_event"), venues, "venue_name", "venue_id", "dim_name")
 
 
-@query(f"""WITH {L}, k AS (SELECT *, {NORM.format('title')} || '|' || (s // 60)::VARCHAR AS key FROM listings WHERE title IS NOT NULL AND venue_id IS NOT NULL),
-a AS (SELECT * FROM k WHERE batch_no = 1 QUALIFY row_number() OVER (PARTITION BY venue_id, key ORDER BY _ord) = 1), b AS (SELECT * FROM k WHERE batch_no = 2 QUALIFY row_number() OVER (PARTITION BY venue_id, key ORDER BY _ord) = 1)
+@query(f"""WITH {L}, k AS (SELECT *, {NORM.format('title')} || '|' || coalesce((s // 60)::VARCHAR, '') AS key FROM listings WHERE title IS NOT NULL AND venue_id IS NOT NULL),
+a AS (SELECT * FROM k WHERE batch_no % 2 = 1 QUALIFY row_number() OVER (PARTITION BY venue_id, key ORDER BY _ord) = 1), b AS (SELECT * FROM k WHERE coalesce(batch_no, 0) % 2 = 0 QUALIFY row_number() OVER (PARTITION BY venue_id, key ORDER BY _ord) = 1)
 SELECT coalesce(a.venue_id, b.venue_id) AS venue_id, coalesce(a.key, b.key) AS key, coalesce(a.ticket_url, b.ticket_url) AS ticket_url, coalesce(a.price_text, b.price_text) AS price_text FROM a FULL OUTER JOIN b ON a.venue_id = b.venue_id AND a.key = b.key""")
 def outer_merge(spark, root):
     k = listings(spark, root).filter("title is not null and venue_id is not null")
-    k = k.withColumn("key", F.concat_ws("|", C.normalize_title("title"), F.floor(F.col("s") / 60).cast("string")))
-    side = lambda n: R.first_wins(k.filter(F.col("batch_no") == n), ["venue_id", "key"], "_ord").select("venue_id", "key", "ticket_url", "price_text")
-    return R.merged(side(1), side(2), ["venue_id", "key"], ["ticket_url", "price_text"])
+    k = k.withColumn("key", F.concat_ws("|", C.normalize_title("title"), F.coalesce(F.floor(F.col("s") / 60).cast("string"), F.lit(""))))
+    # every other batch on one side, so that each row stands on one
+    side = lambda odd: R.first_wins(k.filter(F.coalesce("batch_no", F.lit(0)) % 2 == odd), ["venue_id", "key"], "_ord").select("venue_id", "key", "ticket_url", "price_text")
+    return R.merged(side(1), side(0), ["venue_id", "key"], ["ticket_url", "price_text"])
 
 
 @query("""SELECT v.id, v.name FROM venue v WHERE NOT EXISTS (SELECT 1 FROM existing_event e WHERE e.venue_id = v.id AND e.kind = 'event') AND NOT EXISTS (SELECT 1 FROM prekindle_event p WHERE p.venue_id = v.id)""")
@@ -364,17 +382,17 @@ def slug_map(spark, root):
     return table(spark, root, "venue").filter("slug is not null").groupBy("city").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("slug", "id"))), lambda x: F.concat_ws("=", x["slug"], x["id"])), ",").alias("ids"))
 
 
-@query(f"WITH {L} SELECT venue_id, string_agg(d::VARCHAR, ',' ORDER BY d) AS days FROM (SELECT DISTINCT venue_id, s // 86400 AS d FROM listings WHERE venue_id IS NOT NULL) GROUP BY venue_id")
+@query(f"WITH {L} SELECT venue_id, string_agg(d::VARCHAR, ',' ORDER BY d) AS days FROM (SELECT DISTINCT venue_id, s // 86400 AS d FROM listings WHERE venue_id IS NOT NULL AND s IS NOT NULL) GROUP BY venue_id")
 def dates_present(spark, root):
-    d = listings(spark, root).filter("venue_id is not null").groupBy("venue_id").agg(F.array_sort(F.collect_set(F.floor(F.col("s") / 86400))).alias("d"))
+    d = listings(spark, root).filter("venue_id is not null and s is not null").groupBy("venue_id").agg(F.array_sort(F.collect_set(F.floor(F.col("s") / 86400))).alias("d"))
     return d.select("venue_id", F.array_join(F.transform("d", lambda x: x.cast("string")), ",").alias("days"))
 
 
 # --- windows and order --------------------------------------------------------------
-@query(f"""WITH {L}, g AS (SELECT _ord, s, lead(s) OVER (PARTITION BY venue_id, s // 86400 ORDER BY s, _ord) - s AS gap FROM listings WHERE venue_id IS NOT NULL)
+@query(f"""WITH {L}, g AS (SELECT _ord, s, lead(s) OVER (PARTITION BY venue_id, s // 86400 ORDER BY s, _ord) - s AS gap FROM listings WHERE venue_id IS NOT NULL AND s IS NOT NULL)
 SELECT _ord, s + CASE WHEN gap IS NULL OR gap <= 0 THEN 7200 ELSE least(gap, 7200) END AS ends_s FROM g""")
 def end_inference(spark, root):
-    df = listings(spark, root).filter("venue_id is not null").withColumn("day", F.floor(F.col("s") / 86400))
+    df = listings(spark, root).filter("venue_id is not null and s is not null").withColumn("day", F.floor(F.col("s") / 86400))
     return R.inferred_ends(df, ["venue_id", "day"], "s").select("_ord", "ends_s")
 
 
@@ -400,10 +418,22 @@ def contiguous_segments(spark, root):
     return R.contiguous(df, ["venue_id"], "_ord", F.col("confidence") < 0.5).select("_ord", "venue_id", "segment")
 
 
-@query()
+_SCORE = """coalesce(confidence, 0) * 10 + CASE WHEN trim(ticket_url) <> '' THEN 5 ELSE 0 END + CASE WHEN trim(image_url) <> '' THEN 2 ELSE 0 END
+ + CASE WHEN trim(description) <> '' THEN 1 ELSE 0 END + CASE WHEN (s % 86400) // 3600 <> 0 THEN 3 ELSE 0 END"""
+
+
+@query(f"""WITH RECURSIVE {L}, r AS (SELECT _ord AS ord, venue_id AS venue, coalesce({NORM.format('title')}, '') AS form, s, {_TK} AS ticket, {_SCORE} AS score FROM listings WHERE venue_id IS NOT NULL),
+o AS (SELECT *, coalesce((s // 86400)::VARCHAR, '') || '|' || coalesce(ticket, '') AS key, row_number() OVER (PARTITION BY venue, form ORDER BY ord) AS n FROM r),
+w AS (SELECT venue, form, n, ord, score, ord AS cluster, [{{'opener': ord, 'key': key, 's': s, 'ticket': ticket, 'score': score}}] AS held FROM o WHERE n = 1
+ UNION ALL SELECT venue, form, n, ord, score, CASE WHEN pos IS NULL THEN ord ELSE held[pos].opener END,
+  CASE WHEN pos IS NULL THEN list_append(held, {{'opener': ord, 'key': key, 's': s, 'ticket': ticket, 'score': score}})
+   WHEN score > held[pos].score THEN list_concat(list_append(held[: pos - 1], {{'opener': held[pos].opener, 'key': held[pos].key, 's': s, 'ticket': ticket, 'score': score}}), held[pos + 1 :]) ELSE held END
+  FROM (SELECT o.*, w.held, coalesce(nullif(list_position(list_transform(w.held, lambda x: coalesce((x.ticket IS NULL OR o.ticket IS NULL OR x.ticket = o.ticket) AND (abs(x.s - o.s) <= 64800 OR x.s // 86400 = o.s // 86400), false)), true), 0),
+   nullif(list_position(list_transform(w.held, lambda x: x.key = o.key), true), 0)) AS pos FROM w JOIN o ON o.venue = w.venue AND o.form = w.form AND o.n = w.n + 1))
+SELECT ord, cluster, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, ord) = 1 AS kept FROM w""")
 def batch_clusters(spark, root):
-    """Order-dependent clusters; no SQL can say it, a plain scan in the tests can."""
-    df = dated(spark, root).filter("venue_id is not null")
+    """Order-dependent clusters of rows that list one show."""
+    df = listings(spark, root).filter("venue_id is not null")
     rows = df.select(F.col("_ord").alias("ord"), F.col("venue_id").alias("venue"), C.normalize_title("title").alias("form"), F.col("s").alias("start"), C.ticket_key("ticket_url").alias("ticket"), C.preference("confidence", "ticket_url", "image_url", "description", "start").alias("score"))
     return dedup.cluster(rows)
 
@@ -442,11 +472,11 @@ def slug_allocation(spark, root):
 
 
 @query("""WITH i AS (SELECT source_event_id AS id, venue_id, title, _ord FROM partner_event WHERE source_event_id IS NOT NULL AND venue_id IS NOT NULL), c AS (SELECT source_event_id AS id, venue_id, title, 0::BIGINT AS _ord FROM existing_event WHERE source_event_id IS NOT NULL),
-u AS (SELECT *, 0 AS p FROM c UNION ALL SELECT *, 1 FROM i) SELECT venue_id, id, max(_ord) AS _ord FROM u GROUP BY venue_id, id""")
+u AS (SELECT *, 0 AS p FROM c UNION ALL SELECT *, 1 FROM i) SELECT venue_id, id, title, _ord FROM u QUALIFY row_number() OVER (PARTITION BY venue_id, id ORDER BY p DESC, _ord DESC, title) = 1""")
 def keyed_upsert(spark, root):
     i = table(spark, root, "partner_event").filter("source_event_id is not null and venue_id is not null").select("venue_id", F.col("source_event_id").alias("id"), "title", "_ord")
     c = table(spark, root, "existing_event").filter("source_event_id is not null").select("venue_id", F.col("source_event_id").alias("id"), "title", F.lit(0).cast("bigint").alias("_ord"))
-    return merge.upserted(c, i, ["venue_id", "id"], "_ord").select("venue_id", "id", "_ord")
+    return merge.upserted(c, i, ["venue_id", "id"], "_ord").select("venue_id", "id", "title", "_ord")
 
 
 @query("SELECT venue_id, source_event_id, count(*) AS n FROM existing_event WHERE venue_id IS NOT NULL AND source_event_id IS NOT NULL GROUP BY ALL HAVING count(*) > 1")

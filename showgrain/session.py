@@ -3,12 +3,15 @@
 Every intermediate table that is read more than once is written to the folder in
 ``spark.checkpoint.dir``.  All executors see that folder, so a lost executor costs
 only its running tasks.  Where the setting is missing (tests, a laptop) a folder of
-our own is used.
+our own is used and removed at the end.
 """
 
 from __future__ import annotations
 
+import atexit
 import os
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -43,13 +46,20 @@ def table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share; a temporary one of our own where none is set."""
+    """The folder all executors share.
+
+    Where none is set a local session gets a temporary one of its own; a cluster is refused, because
+    its executors would each write to their own disk.
+    """
     global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="showgrain-")
+        atexit.register(shutil.rmtree, _own_folder, ignore_errors=True)
     return "file://" + os.path.abspath(_own_folder)
 
 

@@ -21,11 +21,14 @@ def new_rows(stream: DataFrame, keys: list[str], time: str, late: str = "2 days"
     return stream.withColumn("_t", F.col(time).cast("timestamp")).withWatermark("_t", late).dropDuplicatesWithinWatermark(keys).drop("_t")
 
 
-def merged_batches(stream: DataFrame, add: Callable[[DataFrame], None], checkpoint: str) -> StreamingQuery:
-    """Hand every arrived batch to ``add`` (as ``History.add`` takes them) until none is left."""
+def merged_batches(stream: DataFrame, add: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
+    """Hand every arrived batch with its number to ``add`` until none is left.
 
-    def each(batch: DataFrame, _: int) -> None:
+    A batch may be handed over again after a failure, under its old number; ``add`` tells by it.
+    """
+
+    def each(batch: DataFrame, number: int) -> None:
         if batch.limit(1).count():
-            add(batch)
+            add(batch, number)
 
     return stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()

@@ -92,6 +92,16 @@ def test_packed_values(spark, bound):
     assert packed.unpack(df.limit(0), known.limit(0)).count() == 0
 
 
+def test_packed_values_are_the_same_at_every_size_of_the_dictionary(spark):
+    known = spark.createDataFrame([("Ann & Bob",), ("Cyra",), ("Dot",)], "value string")
+    texts = ["\u0410nn & Bob, Cy Poe", "\uff23\uff59\uff52\uff41, Dot", "Cyra, Eve", "Xann & Bob, Dot", "Draydale, Dorothy", "Dot & Cyra / Ann & Bob"]
+    df = spark.createDataFrame([("t", i, t, False) for i, t in enumerate(texts * 3)], "source_table string, record_id long, text string, is_title boolean")
+    found = [sorted(tuple(r) for r in packed.unpack(df, known, bound).collect()) for bound in (100, 0)]
+    assert found[0] == found[1]
+    assert [v for _, i, _, v in found[0] if i == 0] == ["Ann & Bob", "Cy Poe"]
+    assert [v for _, i, _, v in found[0] if i == 5] == ["Dot", "Cyra", "Ann & Bob"]
+
+
 def test_long_packed_text(spark):
     names = [f"Act Number{i}" for i in range(3000)]
     assert packed.split_values("; ".join(names), packed.Known([])) == names
@@ -110,21 +120,17 @@ def test_similar_pairs_against_all_pairs(spark):
         assert got == want
 
 
+def _same_window(a, b):
+    return a is not None and b is not None and (a // 86400 == b // 86400 or abs(a - b) <= 18 * 3600)
+
+
 def _plain_scan(rows):
-    """Reference model: winners in arrival order, as the docstring states."""
-    winners, keys, out = [], {}, {}
+    """The rule read out: an ordered map of winners, whose key is that of the row that opened it."""
+    winners, out = {}, {}
     for o, venue, form, start, ticket, score in sorted(rows):
-        for w in winners:
-            if w["v"] != venue or w["f"] != form or (ticket and w["t"] and ticket != w["t"]):
-                continue
-            if start // 86400 == w["s"] // 86400 or abs(start - w["s"]) <= 18 * 3600:
-                break
-        else:
-            w = keys.get((venue, form, start // 60, ticket))
-            if w is None:
-                w = {"v": venue, "f": form, "s": start, "t": ticket, "score": score, "first": o}
-                winners.append(w)
-        keys.setdefault((venue, form, start // 60, ticket), w)
+        key = (venue, form, ticket, None if start is None else start // 86400)
+        hit = next((k for k, w in winners.items() if k[:2] == key[:2] and not (ticket and w["t"] and ticket != w["t"]) and _same_window(start, w["s"])), key)
+        w = winners.setdefault(hit, {"s": start, "t": ticket, "score": score, "first": o})
         out[o] = w["first"]
         if score > w["score"]:
             w.update(s=start, t=ticket, score=score)
@@ -133,13 +139,47 @@ def _plain_scan(rows):
 
 def test_clusters_against_a_plain_scan(spark):
     rng = random.Random(5)
-    rows = [(i, rng.choice("uv"), rng.choice(["x", "y"]), 86400 * 200 + rng.randint(0, 8) * 7 * 3600, rng.choice([None, "p", "q"]), float(rng.randint(1, 5))) for i in range(150)]
     schema = "ord long, venue string, form string, start long, ticket string, score double"
     for parts in (1, 5):
+        rows = [(i, rng.choice("uv"), rng.choice(["x", "y", ""]), rng.choice([None, *[86400 * 200 + k * 7 * 3600 for k in range(9)] * 2]), rng.choice([None, "p", "q"]), float(rng.randint(1, 5))) for i in range(300)]
         got = {r.ord: r.cluster for r in dedup.cluster(spark.createDataFrame(rows, schema).repartition(parts)).collect()}
         assert got == _plain_scan(rows)
-    odd = dedup.cluster(spark.createDataFrame([(1, None, "", 5, None, 1.0), (2, "u", "x", None, None, 1.0)], schema)).collect()
-    assert {(r.ord, r.cluster, r.kept) for r in odd} == {(1, 1, True), (2, 2, True)}
+    odd = dedup.cluster(spark.createDataFrame([(1, None, "", 5, None, 1.0), (2, "u", "x", None, None, 1.0), (3, "u", "x", None, None, 2.0)], schema)).collect()
+    assert {(r.ord, r.cluster, r.kept) for r in odd} == {(1, 1, True), (2, 2, False), (3, 2, True)}
+
+
+def test_clusters_by_hand(spark):
+    """The last row is 27 hours from what its group now holds, but opened on the group's day."""
+    day, hour = 86400, 3600
+    rows = [(1, "u", "x", day + 20 * hour, None, 1.0), (2, "u", "x", 2 * day + 13 * hour, None, 9.0), (3, "u", "x", day + 10 * hour, None, 1.0)]
+    got = dedup.cluster(spark.createDataFrame(rows, "ord long, venue string, form string, start long, ticket string, score double")).collect()
+    assert {(r.ord, r.cluster, r.kept) for r in got} == {(1, 1, False), (2, 1, True), (3, 1, False)}
+
+
+def test_cascade_by_hand(spark):
+    day = 86400
+    side = "venue string, sid string, form string, start long, ticket string, fingerprint string"
+    new = spark.createDataFrame(
+        [(1, "v", "a", "x", 0, None, None, 0.9), (2, "v", None, "x", 10 * day, None, None, 0.9), (3, "v", None, "x", 20 * day, None, "f3", 0.9), (4, "v", None, "quiet otter", 30 * day, "p", None, 0.9), (5, "v", None, "z", None, None, None, 0.1), (6, None, "a", "x", 0, None, None, 0.9)],
+        f"ord long, {side}, confidence double",
+    )
+    known = spark.createDataFrame(
+        [("e9", "event", "v", "a", "other", 99 * day, None, None), ("i1", "ingested", "v", None, "x", 10 * day + 17 * 3600, None, None), ("e2", "event", "v", None, "y", 0, None, "f3"), ("e3", "event", "v", None, "x", 20 * day, None, None), ("e4", "event", "v", None, "quiet oter", 30 * day, "q", None)],
+        f"id string, kind string, {side}",
+    )
+    got = {r.ord: (r.known_id, r.matched_by) for r in dedup.cascade(new, known).collect()}
+    # of the two that row 3 equals, by fingerprint and by title, the first known one counts
+    assert got == {1: ("e9", "source_id"), 2: ("i1", "exact"), 3: ("e2", "exact")}
+    rest = new.filter("ord > 3")
+    said = {r.ord: (r.known_id, r.status) for r in dedup.fuzzy_decision(rest, known, C.similarity).collect()}
+    assert said == {4: ("e4", "needs_review"), 5: (None, "needs_review"), 6: (None, "new")}
+
+
+def test_tiers_by_hand(spark):
+    t = spark.createDataFrame([("ann lee",), ("ann",), ("lee ann",), ("ann lee bob ray cy",), ("the quiet otter band",), ("ann ann",)], "target string")
+    n = spark.createDataFrame([(1, "ann lee"), (2, "bob"), (3, "ray bob lee ann"), (4, "quiet otter band of the"), (5, "9 pm"), (6, "x")], "id int, name string")
+    got = {(r.target, r.id): r.tier for r in collapse.tiers(t, n, "target", "id", "name").collect()}
+    assert got == {("ann lee", 1): 100, ("lee ann", 1): 90, ("lee ann", 3): 85, ("ann lee", 3): 90, ("ann lee bob ray cy", 1): 85, ("ann lee bob ray cy", 3): 70, ("the quiet otter band", 4): 90, ("ann ann", 1): 90, ("ann ann", 3): 90}
 
 
 def test_bills_and_band_names():
@@ -196,6 +236,14 @@ def test_relations(spark):
     assert {(r.series_id, r.score) for r in hit} == {(1, 28), (2, 3)}
 
 
+def test_patterns_are_met_alike_at_every_number(spark):
+    texts = spark.createDataFrame([("smart night out",), ("art night",), ("",), ("a long evening of quiet otters",), (None,), ("ab",)], "t string")
+    p = spark.createDataFrame([(1, "art night"), (2, "t"), (3, "evening of quiet otters"), (4, "absent"), (5, ""), (6, "ab"), (7, "ab")], "series_id int, pattern string")
+    found = [{(r.t, r.series_id, r.score) for r in R.contains_pattern(texts, p, "t", bound).collect()} for bound in (100, 0)]
+    assert found[0] == found[1]
+    assert ("smart night out", 1, 9) in found[1] and ("art night", 1, 29) in found[1]
+
+
 def test_vector_search(spark):
     rng = random.Random(1)
     rows = [(i, [rng.uniform(-1, 1) for _ in range(6)], "clash") for i in range(80)] + [(99, None, "c"), (100, [], "c"), (101, [0.0] * 6, "c")]
@@ -213,37 +261,56 @@ def test_vector_search(spark):
 
 
 def _plain_waiting(rows):
-    kept, prints, out = [], {}, {}
-    for o, venue, form, start, ticket, fp in sorted(rows):
-        hit = prints.get((venue, fp)) if fp else None
-        for i, (ko, kv, kf, ks, kt) in enumerate(kept):
-            near = start is not None and ks is not None and (start // 86400 == ks // 86400 or abs(start - ks) <= 18 * 3600)
-            if kv == venue and form and kf == form and (ticket and kt and ticket == kt or not (ticket and kt) and near):
-                hit = i if hit is None else min(hit, i)
+    """The rule read out: the first kept row that matches; a better row takes its place."""
+    kept, out = [], {}
+    for o, venue, form, start, ticket, fp, score in sorted(rows):
+        row = {"v": venue, "f": form, "s": start, "t": ticket, "p": fp, "score": score, "first": o}
+        for i, k in enumerate(kept):
+            if k["v"] == venue and (fp and k["p"] == fp or k["f"] == form and (ticket and k["t"] == ticket or _same_window(start, k["s"]))):
+                out[o] = k["first"]
+                if score > k["score"]:
+                    kept[i] = row | {"first": k["first"]}
                 break
-        if hit is None:
-            kept.append((o, venue, form, start, ticket))
-            hit = len(kept) - 1
-        if fp:
-            prints.setdefault((venue, fp), hit)
-        out[o] = kept[hit][0]
+        else:
+            kept.append(row)
+            out[o] = o
     return out
 
 
+WAITING = "ord long, venue string, form string, start long, ticket string, fingerprint string, score double"
+
+
 def test_waiting_rows_against_a_plain_scan(spark):
     rng = random.Random(6)
-    rows = [(i, rng.choice("uv"), rng.choice(["x", "y", "z", ""]), rng.choice([None, 86400 * 100 + rng.randint(0, 9) * 40_000]), rng.choice([None, "p", "q"]), rng.choice([None, None, "f1", "f2", "f3"])) for i in range(120)]
-    df = spark.createDataFrame(rows, "ord long, venue string, form string, start long, ticket string, fingerprint string")
-    assert {r.ord: r.kept_ord for r in collapse.waiting(df.repartition(3)).collect()} == _plain_waiting(rows)
+    rows = [(i, rng.choice("uv"), rng.choice(["x", "y", "z", ""]), rng.choice([None, 86400 * 100 + rng.randint(0, 9) * 40_000]), rng.choice([None, "p", "q"]), rng.choice([None, None, "f1", "f2", "f3"]), float(rng.randint(0, 4))) for i in range(160)]
+    df = spark.createDataFrame(rows, WAITING)
+    assert {r.ord: r.slot for r in collapse.waiting(df.repartition(3)).collect()} == _plain_waiting(rows)
     assert collapse.waiting(df.limit(0)).count() == 0
 
 
+def test_waiting_rows_by_hand(spark):
+    """Row 2 takes the place of row 1, so row 3 no longer meets the fingerprint of row 1."""
+    rows = [(1, "u", "x", 0, "p", "f1", 1.0), (2, "u", "x", 3600, "q", "f2", 5.0), (3, "u", "y", 10 * 86400, None, "f1", 9.0), (4, "u", "z", None, None, "f2", 2.0)]
+    got = {(r.ord, r.slot, r.kept) for r in collapse.waiting(spark.createDataFrame(rows, WAITING)).collect()}
+    assert got == {(1, 1, False), (2, 1, True), (3, 3, True), (4, 1, False)}
+
+
 def test_components_of_a_long_chain(spark):
     edges = [(f"n{i:03d}", f"n{i + 1:03d}") for i in range(40)] + [("x", "y"), ("y", "x")]
     got = {r.label: r.rep for r in components.components(spark.createDataFrame(edges, "a string, b string")).collect()}
     assert got == {f"n{i:03d}": "n000" for i in range(41)} | {"x": "x", "y": "x"}
 
 
+def test_a_cluster_without_a_shared_folder_is_refused(spark):
+    from types import SimpleNamespace
+
+    from showgrain.session import shared_folder
+
+    far = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host.example:7077"))
+    with pytest.raises(ValueError):
+        shared_folder(far)
+
+
 def test_large_inputs_are_not_shuffled_for_spreading(spark, tmp_path):
     from showgrain.session import spread
 
@@ -269,11 +336,9 @@ def test_order_dependent_queries_read_every_start(spark, tmp_path):
     spark.createDataFrame([("s", "UTC")], SOURCE).write.parquet(f"{tmp_path}/venue_event_sources.parquet")
     ticket = lambda r: r[7] and r[7].removeprefix("https://")
 
-    waiting = [(r[0], r[2], forms[r[3]], told[r[4]], ticket(r), r[8]) for r in raw]
-    assert {r.ord: r.kept_ord for r in catalogue.waiting_collapsed(spark, str(tmp_path)).collect()} == _plain_waiting(waiting)
-
     start = F.timestamp_seconds(F.create_map(*[F.lit(x) for k, v in told.items() if v for x in (k, v)])[F.col("starts_at")])
     score = {r[0]: r[1] for r in df.select("_ord", C.preference("confidence", "ticket_url", "image_url", "description", start)).collect()}
-    usable = [(r[0], r[2], forms[r[3]], told[r[4]], ticket(r), score[r[0]]) for r in raw if told[r[4]] and forms[r[3]]]
-    alone = {r[0]: r[0] for r in raw} | _plain_scan(usable)
-    assert {r.ord: r.cluster for r in reference.batch_clusters(spark, str(tmp_path)).collect()} == alone
+    waiting = [(r[0], r[2], forms[r[3]], told[r[4]], ticket(r), r[8], score[r[0]]) for r in raw]
+    assert {r.ord: r.slot for r in catalogue.waiting_collapsed(spark, str(tmp_path)).collect()} == _plain_waiting(waiting)
+    usable = [(r[0], r[2], forms[r[3]], told[r[4]], ticket(r), score[r[0]]) for r in raw]
+    assert {r.ord: r.cluster for r in reference.batch_clusters(spark, str(tmp_path)).collect()} == _plain_scan(usable)

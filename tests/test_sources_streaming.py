@@ -47,8 +47,8 @@ def test_streams(spark, tmp_path):
     spark.createDataFrame(rows, "id int, ts timestamp, event_type string, value double").write.parquet(str(tmp_path / "in"))
     stream = lambda: spark.readStream.schema("id int, ts timestamp, event_type string, value double").parquet(str(tmp_path / "in"))
     seen = []
-    ingest.merged_batches(ingest.new_rows(stream(), ["id"], "ts"), lambda b: seen.extend(r.id for r in b.collect()), str(tmp_path / "c1")).awaitTermination()
-    assert sorted(seen) == [1, 2]
+    ingest.merged_batches(ingest.new_rows(stream(), ["id"], "ts"), lambda b, number: seen.extend((number, r.id) for r in b.collect()), str(tmp_path / "c1")).awaitTermination()
+    assert sorted(seen) == [(0, 1), (0, 2)]
     q = ingest.windowed_counts(stream()).writeStream.format("memory").queryName("sg_windows").outputMode("complete").trigger(availableNow=True).start()
     q.awaitTermination()
     assert {(r.window_start.hour, r.n) for r in spark.sql("select * from sg_windows").collect()} == {(0, 2), (6, 1)}
