@@ -1,10 +1,12 @@
 """Matching entities across sources without keys: listings of city feeds and accepted shows.
 
-1. Venue names become fixed bit vectors of their q-grams (``BITS`` bits).  Close pairs are
-   found exactly by multi-index Hamming hashing: a vector is cut into chunks so that two
-   vectors within ``RADIUS`` bits differ by at most one bit in some chunk; known venues are
-   indexed by chunk, names probe each chunk and its one-bit neighbours, and the full
-   distance is taken for the hits.  Distinct names are searched, not rows.
+1. Venue names become fixed bit vectors of their q-grams (``BITS`` bits, one for each gram).
+   Close pairs are found exactly by multi-index Hamming hashing: a vector is cut into
+   ``CHUNKS`` chunks so that two vectors within ``RADIUS`` bits differ by at most one bit in some
+   chunk.  Chunks hold few bits, so a neighbour of one bit is a chunk without one of its bits:
+   names and venues are both keyed by their chunks and by those with one bit less, which
+   meet just where the chunks differ by one bit or none.  The full distance is taken for the
+   hits.  Distinct names are searched, not rows.
 2. Listings meet shows of their candidate venues in the same start slots (within
    ``APART_S``; a bare date means the venue's local day).
 3. A pair's score is the field-weighted Dice similarity of title, venue and address
@@ -15,6 +17,8 @@
    so a bounded result reaches the driver.
 5. Each listing keeps its best show, if the confidence reaches ``ACCEPT``.
 
+Listings that say the same are compared once and joined back to their rows by a salted key.
+
 Defined results: rows without an id take no part; null or empty venues and titles, and starts that tell no day, match
 nothing; repeated listings match each; ties take the nearer start, then the smaller id;
 empty tables give an empty result.
@@ -32,12 +36,14 @@ from pyspark.sql import functions as F
 from showgrain.functions.frames import frame
 from showgrain.functions.timeparse import find_day
 from showgrain.llm import shows
-from showgrain.session import broadcast_if_small, written
+from showgrain.session import broadcast_if_small, spread, written
 
-BITS = 128
+BITS = 512
 TITLE_BITS = 512
-RADIUS = 23
-CHUNKS = 12  # RADIUS < 2 * CHUNKS: some chunk differs by one bit at most
+RADIUS = 7  # a swap of letters changes six grams, any other typing error four
+CHUNKS = 4  # RADIUS < 2 * CHUNKS: some chunk differs by one bit at most
+CITIES_BOUND = 100_000  # distinct cities of venues, which every task holds
+SALTS = 16
 APART_S = 95 * 60
 SLOT_S = 2 * 3600
 BINS = 40
@@ -49,35 +55,32 @@ HEAD = 0.97  # what an equal first act counts beside an equal title
 NEAR_LOCAL_S = 86400
 
 
-def _chunks(vector: list[int]) -> list[tuple[int, int]]:
-    """(chunk number, its bits) of a vector."""
+def _chunks(vector: list[int]) -> list[tuple[str, list[str]]]:
+    """Each chunk of a vector as a key, and the keys of that chunk with one bit less."""
     whole = sum((w & 0xFFFFFFFFFFFFFFFF) << (64 * i) for i, w in enumerate(vector))
+    width = BITS // CHUNKS
     out = []
     for c in range(CHUNKS):
-        lo, hi = BITS * c // CHUNKS, BITS * (c + 1) // CHUNKS
-        out.append((c, (whole >> lo) & ((1 << (hi - lo)) - 1), hi - lo))
+        x = (whole >> (width * c)) & ((1 << width) - 1)
+        out.append((f"{c}:{x:x}", [f"{c}:{x ^ (1 << i):x}" for i in range(width) if x >> i & 1]))
     return out
 
 
-def _index_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        i, v, k = [], [], []
-        for vid, form in zip(b.venue_id, b.form, strict=True):
-            vec = shows.bit_vector(shows.grams(form), BITS)
-            for c, bits, _ in _chunks(vec):
-                i.append(vid), v.append(vec), k.append(f"{c}:{bits}")
-        yield frame({"venue_id": i, "known_bits": v, "chunk": k})
+def _keyed(column: str, more: str, less: str):
+    """Vectors with their chunk keys: as they are ('='), where the other side has a bit more, and where it has one less."""
 
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            n, v, k = [], [], []
+            for name, form in zip(b[column], b.form, strict=True):
+                vec = shows.bit_vector(shows.grams(form), BITS, 1)
+                keys = [x for key, fewer in _chunks(vec) for x in (f"=|{key}", f"{more}|{key}", *(f"{less}|{f}" for f in fewer))]
+                n += [name] * len(keys)
+                v += [vec] * len(keys)
+                k += keys
+            yield frame({column: n, "bits": v, "chunk": k})
 
-def _probe_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for b in batches:
-        n, v, k = [], [], []
-        for name, form in zip(b.venue_name, b.form, strict=True):
-            vec = shows.bit_vector(shows.grams(form), BITS)
-            for c, bits, width in _chunks(vec):
-                for x in (bits, *(bits ^ (1 << j) for j in range(width))):
-                    n.append(name), v.append(vec), k.append(f"{c}:{x}")
-        yield frame({"venue_name": n, "name_bits": v, "chunk": k})
+    return run
 
 
 def _bits_of(column: str):
@@ -94,7 +97,7 @@ def _bits_of(column: str):
 
 def _titled(df: DataFrame, column: str) -> DataFrame:
     schema = f"{column} string, {column}_bits array<long>, {column}_head array<long>"
-    return df.select(column).distinct().mapInPandas(_bits_of(column), schema)
+    return spread(df.select(column).distinct()).mapInPandas(_bits_of(column), schema)
 
 
 def _forms_of(cities: frozenset[str]):
@@ -120,12 +123,16 @@ def close_venues(names: DataFrame, venues: DataFrame) -> DataFrame:
 
     names: distinct ``venue_name``; venues: ``id``, ``name``, ``city``.
     """
-    cities = frozenset(shows.bare(r.city).strip() for r in venues.filter("city is not null").select("city").distinct().limit(100_000).collect())
-    known = venues.select(F.col("id").alias("venue_id"), F.col("name").alias("venue_name")).filter("coalesce(trim(venue_name), '') <> ''")
-    index = known.mapInPandas(_forms_of(cities), "venue_id string, venue_name string, form string").mapInPandas(_index_rows, "venue_id string, known_bits array<long>, chunk string")
+    held = venues.filter("city is not null").select("city").distinct().limit(CITIES_BOUND + 1).collect()
+    if len(held) > CITIES_BOUND:
+        raise ValueError(f"over {CITIES_BOUND} distinct cities; raise CITIES_BOUND to the executors' memory")
+    cities = frozenset(shows.bare(r.city).strip() for r in held)
+    known = venues.select(F.col("id").alias("venue_id"), F.col("name").alias("venue_name")).filter("venue_id is not null and coalesce(trim(venue_name), '') <> ''")
+    index = known.mapInPandas(_forms_of(cities), "venue_id string, venue_name string, form string").mapInPandas(_keyed("venue_id", "<", ">"), "venue_id string, bits array<long>, chunk string")
+    index = index.withColumnRenamed("bits", "known_bits")
     typed = names.filter("coalesce(trim(venue_name), '') <> ''").select("venue_name").distinct()
-    probes = typed.mapInPandas(_forms_of(cities), "venue_name string, form string").mapInPandas(_probe_rows, "venue_name string, name_bits array<long>, chunk string")
-    hits = probes.join(broadcast_if_small(written(index, "venue-index")), "chunk").select("venue_name", "venue_id", "name_bits", "known_bits").distinct()
+    probes = typed.mapInPandas(_forms_of(cities), "venue_name string, form string").mapInPandas(_keyed("venue_name", ">", "<"), "venue_name string, bits array<long>, chunk string")
+    hits = probes.withColumnRenamed("bits", "name_bits").join(broadcast_if_small(written(index, "venue-index")), "chunk").select("venue_name", "venue_id", "name_bits", "known_bits").distinct()
     apart = _count_bits(F.zip_with("name_bits", "known_bits", lambda x, y: x.bitwiseXOR(y)))
     near = hits.filter(apart <= RADIUS).select("venue_name", "venue_id", _dice("name_bits", "known_bits").alias("venue_dice"))
     near = near.withColumn("top", F.max("venue_dice").over(Window.partitionBy("venue_name")))
@@ -138,14 +145,17 @@ def _street(col: str) -> F.Column:
     return F.nullif(F.regexp_extract(c, r"^(\d+\s+[\p{L}]+)", 1), F.lit(""))
 
 
-def _days(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The day of a listing without a time, and the bit vectors of its title and of its first act."""
     for b in batches:
         days = []
-        for text, raw, seen in zip(b.starts_at, b.raw_date_text, b.seen, strict=True):
+        for text, raw, seen, at in zip(b.starts_at, b.raw_date_text, b.seen, b.instant, strict=True):
             ref = date.fromisoformat(seen) if seen else None
-            d = find_day(text, ref) or find_day(raw, ref)
+            d = (find_day(text, ref) or find_day(raw, ref)) if pd.isna(at) else None
             days.append(d.isoformat() if d else None)
-        yield frame({"_ord": b._ord, "day": days})
+        whole = [shows.bit_vector(shows.grams(shows.act_form(t)), TITLE_BITS) for t in b.title]
+        head = [shows.bit_vector(shows.grams(shows.head_form(t)), TITLE_BITS) for t in b.title]
+        yield frame({"sig": b.sig, "venue_name": b.venue_name, "address": b.address, "instant": b.instant, "day": days, "title_bits": whole, "title_head": head})
 
 
 def match_pairs(listings: DataFrame, starts: DataFrame, existing: DataFrame, venues: DataFrame, zones: DataFrame) -> DataFrame:
@@ -153,15 +163,18 @@ def match_pairs(listings: DataFrame, starts: DataFrame, existing: DataFrame, ven
 
     listings: rows of the feeds; starts: ``_ord``, ``instant``; zones: ``venue_id``, ``zone``.
     """
-    rows = listings.filter("_ord is not null").select("_ord", "title", "venue_name", "address", "price_text", "starts_at", "raw_date_text", "fetched_at").join(starts.select("_ord", "instant"), "_ord", "left")
-    bare = rows.filter("instant is null").select("_ord", "starts_at", "raw_date_text", F.date_format("fetched_at", "yyyy-MM-dd").alias("seen"))
-    days = bare.mapInPandas(_days, "_ord long, day string")
+    said = ["title", "venue_name", "address", "starts_at", "raw_date_text", "seen", "instant"]
+    rows = listings.filter("_ord is not null").select("_ord", "title", "venue_name", "address", "starts_at", "raw_date_text", F.date_format("fetched_at", "yyyy-MM-dd").alias("seen")).join(starts.select("_ord", "instant"), "_ord", "left")
+    # only a bare date is read again, so only there its texts and the day it was seen matter
+    for c in ("starts_at", "raw_date_text", "seen"):
+        rows = rows.withColumn(c, F.when(F.col("instant").isNull(), F.col(c)))
+    rows = written(rows.withColumn("sig", F.md5(F.to_json(F.struct(*said), {"ignoreNullFields": "false"}))).select("_ord", "sig", *said), "listings")
+    once = rows.groupBy("sig").agg(*[F.first(c).alias(c) for c in said])
     near = written(close_venues(rows, venues), "close-venues")
-    titled = _titled(rows, "title")
-    rows = rows.join(days, "_ord", "left").join(titled, rows["title"].eqNullSafe(titled["title"]), "left").drop(titled["title"])
+    once = spread(once).mapInPandas(_read, "sig string, venue_name string, address string, instant long, day string, title_bits array<long>, title_head array<long>")
     place = venues.select(F.col("id").alias("vid"), F.col("address").alias("vaddress")).join(zones, F.col("vid") == F.col("venue_id"), "left").select("vid", "vaddress", F.coalesce("zone", F.lit("America/Chicago")).alias("zone"))
     at = near.join(broadcast_if_small(place), near["venue_id"] == F.col("vid")).drop("vid")
-    near_rows = rows.join(broadcast_if_small(at, 200_000), "venue_name")
+    near_rows = once.join(broadcast_if_small(at, 200_000), "venue_name")
     # a bare date covers the venue's local day
     day_start = F.unix_timestamp(F.to_utc_timestamp(F.to_timestamp("day"), F.col("zone")))
     near_rows = near_rows.withColumns(
@@ -170,16 +183,19 @@ def match_pairs(listings: DataFrame, starts: DataFrame, existing: DataFrame, ven
     e = existing.filter("id is not null and venue_id is not null and starts_at is not null").select(F.col("id").alias("existing_id"), F.col("venue_id").alias("evenue"), F.col("title").alias("etitle"), F.unix_timestamp("starts_at").alias("einstant"))
     etitled = _titled(e, "etitle")
     e = written(e.join(etitled, "etitle"), "shows")
-    near_rows = written(near_rows, "listings")
-    real = _scored(near_rows, e)
-    chance = [_scored(near_rows.withColumns({"lo": F.col("lo") + d * 86400, "hi": F.col("hi") + d * 86400, "instant": F.col("instant") + d * 86400}), e) for d in CHANCE_DAYS]
-    null = chance[0].unionByName(chance[1]).unionByName(chance[2])
-    real = written(real, "scored")
-    confidence = calibration(real, null, len(CHANCE_DAYS))
+    # the real pairs and those of chance in one join: chance is the same listing some weeks on
+    days = F.explode(F.array(*map(F.lit, (0, *CHANCE_DAYS)))).alias("days")
+    shifted = near_rows.select("*", days)
+    shifted = shifted.withColumns({c: F.col(c) + F.col("days") * 86400 for c in ("lo", "hi", "instant")})
+    scored = written(_scored(shifted, e), "scored")
+    confidence = calibration(scored, len(CHANCE_DAYS))
     bins = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int")
-    out = real.withColumn("confidence", F.element_at(F.array(*map(F.lit, confidence)), bins + 1)).filter(F.col("confidence") >= ACCEPT)
-    best = Window.partitionBy("_ord").orderBy(F.desc("score"), F.asc_nulls_last("apart"), "existing_id")
-    return out.withColumn("n", F.row_number().over(best)).filter("n = 1").select("_ord", "existing_id", "score", "confidence")
+    out = scored.filter("days = 0").withColumn("confidence", F.element_at(F.array(*map(F.lit, confidence)), bins + 1)).filter(F.col("confidence") >= ACCEPT)
+    first = F.min_by(F.struct("existing_id", "score", "confidence"), F.struct(-F.col("score"), F.coalesce("apart", F.lit(1 << 40)), "existing_id"))
+    best = written(out.groupBy("sig").agg(first.alias("m")).select("sig", "m.*"), "best").withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    # one listing may stand in a third of all rows
+    back = rows.select("_ord", "sig", F.pmod(F.hash("_ord"), F.lit(SALTS)).alias("salt"))
+    return back.join(best, ["sig", "salt"]).select("_ord", "existing_id", "score", "confidence")
 
 
 def _scored(rows: DataFrame, e: DataFrame) -> DataFrame:
@@ -196,13 +212,14 @@ def _scored(rows: DataFrame, e: DataFrame) -> DataFrame:
         "start": F.coalesce(1 - F.col("apart") / (2 * APART_S), F.lit(0.5)),
     }
     total = sum((F.lit(w) * fields[k] for k, w in FIELD_WEIGHTS.items()), F.lit(0.0))
-    return p.select("_ord", "existing_id", total.alias("score"), "apart")
+    return p.select("sig", "days", "existing_id", total.alias("score"), "apart")
 
 
-def calibration(real: DataFrame, null: DataFrame, times: int) -> list[float]:
-    """Confidence of each score bin: what chance does not explain, made monotone."""
-    hist = lambda d: {r.b: r["count"] for r in d.groupBy(F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int").alias("b")).count().collect()}
-    got, by_chance = hist(real), hist(null)
+def calibration(scored: DataFrame, times: int) -> list[float]:
+    """Confidence of each score bin: what chance (pairs with other ``days`` than 0) does not explain, made monotone."""
+    bins = F.least(F.floor(F.col("score") * BINS), F.lit(BINS - 1)).cast("int").alias("b")
+    counts = scored.groupBy((F.col("days") == 0).alias("real"), bins).count().collect()
+    got, by_chance = ({r.b: r["count"] for r in counts if r.real == real} for real in (True, False))
     out: list[float] = []
     for b in range(BINS):
         n = got.get(b, 0)

@@ -58,6 +58,31 @@ def test_templates_join_messages(spark):
     assert len({r.template for r in out}) == 2 and len(out) == 31
 
 
+def test_templates_are_the_same_in_any_order(spark):
+    rng = random.Random(8)
+    words = ["page", "not", "found", "found.", "the", "server", "was", "busy", "x1", "x2", "x3"]
+    rows = [(" ".join(rng.choice(words) for _ in range(rng.randint(1, 6))),) for _ in range(600)]
+    df = spark.createDataFrame(rows, "segment string").distinct()
+    found = []
+    for parts, size in ((1, 10_000), (7, 50)):
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
+        found.append({tuple(r) for r in residue.mine_templates(df.repartition(parts)).collect()})
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 10_000)
+    assert found[0] == found[1] and len({t for _, t, _ in found[0]}) < len(found[0])
+
+
+def test_residue_by_template_and_company(spark):
+    """A misspelt member follows its template; what stands beside error pages in many sources is part of them."""
+    rows = [("t", i, f"The server encountered problem number {i % 7} while it was serving your request.\nAnother words line {i}x", f"s{i % 3}") for i in range(40)]
+    rows += [("t", 100, "The server encounterred problem number 3 while it was serving your request.", "s1")]
+    rows += [("t", 200 + i, "502 Bad Gateway\nopen balancer sixteen", f"s{i}") for i in range(12)] + [("t", 300, "Open balancer sixteen", "s20")]
+    rows += [("t", 400 + i, "404 Not Found\nA night of songs by the river", "s1") for i in range(12)] + [("t", 500, "A night of songs by the river", "s1")]
+    rows += [("t", 600, "null " * 40 + "and then the band came on and played until the sun rose.", "s1"), ("t", 601, "null " * 400, "s1"), ("t", 602, "word " * 60 + "lorem ipsum dolor sit amet consectetur adipiscing elit", "s2"), ("t", 603, "-" * 400 + " x", "s2")]
+    df = spark.createDataFrame(rows, "source_table string, record_id long, description string, source string")
+    got = {r.record_id for r in residue.residue(df.repartition(5)).collect()}
+    assert got == {*range(40), 100, *range(200, 212), 300, *range(400, 412), 601, 602}
+
+
 # --- names ----------------------------------------------------------------------------
 CATALOGUE = [
     ("a1", "The Quiet Otter Quartet", []),
@@ -272,7 +297,7 @@ def test_hamming_index_is_exact(spark):
         got = {(r.venue_name, r.venue_id) for r in matching.close_venues(spark.createDataFrame([(t,) for t in typed], "venue_name string"), v).collect()}
     finally:
         matching.RIVAL = monkey
-    vec = lambda n: shows.bit_vector(shows.grams(shows.venue_form(n, frozenset({"town"}))), matching.BITS)
+    vec = lambda n: shows.bit_vector(shows.grams(shows.venue_form(n, frozenset({"town"}))), matching.BITS, 1)
     apart = lambda a, b: sum(bin((x ^ y) & 0xFFFFFFFFFFFFFFFF).count("1") for x, y in zip(a, b, strict=True))
     want = {(t, i) for t in typed if t for i, n, _ in venues if apart(vec(t), vec(n)) <= matching.RADIUS}
     assert got == want and len(want) >= 60
@@ -355,8 +380,15 @@ def test_packing_texts(spark):
     assert packing.packed(docs.limit(0)).count() == 0
 
 
+def test_packing_does_not_depend_on_the_layout(spark):
+    rng = random.Random(3)
+    docs = spark.createDataFrame([(i, "word " * rng.randint(1, 90)) for i in range(120)] + [(5, "twice")] * 3, "doc_id long, text string")
+    found = [sorted(tuple(r) for r in packing.packed(d, capacity=128, group_items=30).collect()) for d in (docs.coalesce(1), docs.repartition(9, "text"))]
+    assert found[0] == found[1]
+
+
 # --- leakage --------------------------------------------------------------------------
-def test_leaks(spark, monkeypatch):
+def test_leaks(spark):
     item = "On Friday Anna Keel carried 14 lamps over the bridge to Holm before 300 people sang there"
     other = "On Monday Berta Moss carried 99 lamps over the bridge to Vik before 25 people sang there"
     rows = [
@@ -372,13 +404,8 @@ def test_leaks(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, item_id string")
     items = spark.createDataFrame([(10, item, "c"), (11, item, "c"), (12, "too short", "c"), (13, None, "c")], "item_id long, text string, kind string")
     for bound in (leakage.INDEX_BOUND, 0):
-        if not bound:
-            real = leakage._names
-            names_ = real(items.filter("text is not null"))
-            monkeypatch.setattr(leakage, "_names", lambda rows: names_)
-        monkeypatch.setattr(leakage, "INDEX_BOUND", bound)
-        got = {tuple(r) for r in leakage.leaks(docs, items, loose=True).collect()}
-        assert {x for x in got if x[2] == "exact"} == {tuple(r) for r in leakage.leaks(docs, items).collect()}
+        got = {tuple(r) for r in leakage.leaks(docs, items, True, bound).collect()}
+        assert {x for x in got if x[2] == "exact"} == {tuple(r) for r in leakage.leaks(docs, items, False, bound).collect()}
         exact = {(d, i, "exact") for d in (1, 3, 7) for i in (10, 11)}
         assert exact <= got and {(d, i) for d, i, k in got if k == "exact"} == {(d, i) for d, i, _ in exact}
         assert (4, 10, "reparameterised") in got
