@@ -93,3 +93,64 @@ def same_show(a: Column | str, b: Column | str, hours: int = 18) -> Column:
 def month_starts(first: Column | str, last: Column | str) -> Column:
     """First days of the months that a range touches."""
     return F.sequence(F.trunc(_col(first), "month"), F.trunc(_col(last), "month"), F.expr("interval 1 month"))
+
+
+def rolled_year(month: Column | str, day: Column | str, as_of: Column | str, rule: str) -> Column:
+    """Year of a month and day without one, by a named rule of a kind of listing.
+
+    'two_months': months over two behind belong to the next year.  'month': months over one
+    behind do.  'late_days': so do, from November on, days over one behind in this month; and in
+    January and February the last two months belong to the year before.  'winter': only January
+    to March, seen from October on, belong to the next year.  'days': the first such date
+    that is not over 30 days past.
+    """
+    month, day, as_of = _col(month).cast("int"), _col(day).cast("int"), F.to_date(_col(as_of))
+    year, now, today = F.year(as_of), F.month(as_of), F.dayofmonth(as_of)
+    if rule == "two_months":
+        return F.when(month < now - 2, year + 1).otherwise(year)
+    if rule == "month":
+        return F.when(month < now - 1, year + 1).otherwise(year)
+    if rule == "late_days":
+        behind = (month < now - 1) | ((month == now) & (day + 1 < today) & (now >= 11))
+        return F.when((now <= 2) & (month >= 11), year - 1).when(behind, year + 1).otherwise(year)
+    if rule == "winter":
+        return F.when((now >= 10) & (month <= 3) & (month < now - 1), year + 1).otherwise(year)
+    if rule == "days":
+        return F.year(infer_year(month, day, as_of))
+    raise ValueError(rule)
+
+
+def paired(dates: Column | str, times: Column | str) -> Column:
+    """Array of (date, time): as many distinct times as dates go together in order, else all dates take the first time."""
+    d, t = F.array_distinct(F.array_compact(_col(dates))), F.array_distinct(F.array_compact(_col(times)))
+    one = lambda x, i: F.struct(x.alias("date"), F.when(F.size(d) == F.size(t), F.get(t, i)).otherwise(F.get(t, 0)).alias("time"))
+    return F.when((F.size(d) > 0) & (F.size(t) > 0), F.transform(d, one)).otherwise(F.array().cast("array<struct<date:string,time:string>>"))
+
+
+def day_range(text: Column | str) -> Column:
+    """First and last day of 'Month d-d, yyyy', 'Month d - Month d, yyyy' or a single 'Month d, yyyy'."""
+    text = _col(text)
+    pattern = r"([A-Za-z]{3,9})\.?\s+(\d{1,2})(?:\s*[-–]\s*(?:([A-Za-z]{3,9})\.?\s+)?(\d{1,2}))?,?\s+(\d{4})"
+    part = lambda i: F.regexp_extract(text, pattern, i)
+    at = lambda m, d: F.try_to_date(F.format_string("%s-%02d-%02d", part(5), month_number(m), d.try_cast("int")), "yyyy-MM-dd")
+    first = at(part(1), part(2))
+    last = F.when(part(4) != "", at(F.when(part(3) != "", part(3)).otherwise(part(1)), part(4))).otherwise(first)
+    return F.when(part(5) != "", F.struct(first.alias("first"), last.alias("last")))
+
+
+def url_start(url: Column | str) -> Column:
+    """Wall time in a link: /yyyy-mm-dd or /yyyy/mm/dd or -mmddyy (from 70 on of the last century), and -at-h-mm-am or -pm."""
+    url = F.lower(_col(url))
+    long = r"[/-](\d{4})[-/](\d{2})[-/](\d{2})(?:[/-]|$)"
+    short = r"[/-](\d{2})(\d{2})(\d{2})(?:[/-]|$)"
+    part = lambda p, i: F.regexp_extract(url, p, i)
+    century = F.when(part(short, 3).try_cast("int") >= 70, "19").otherwise("20")
+    day = F.when(part(long, 1) != "", F.concat_ws("-", part(long, 1), part(long, 2), part(long, 3))).when(part(short, 1) != "", F.concat(century, part(short, 3), F.lit("-"), part(short, 1), F.lit("-"), part(short, 2)))
+    clock = r"-at-(\d{1,2})(?:-(\d{2}))?-?([ap])m"
+    minutes = F.when(part(clock, 1) != "", F.pmod(part(clock, 1).try_cast("int"), F.lit(12)) * 60 + F.coalesce(part(clock, 2).try_cast("int"), F.lit(0)) + F.when(part(clock, 3) == "p", 720).otherwise(0)).otherwise(0)
+    return F.timestamp_seconds(F.unix_timestamp(F.try_to_timestamp(day, F.lit("yyyy-MM-dd"))) + minutes * 60)
+
+
+def local_day(instant: Column | str, zone: Column | str, form: str = "EEEE, MMMM d, h:mm a") -> Column:
+    """An instant written for readers at a place."""
+    return F.date_format(F.from_utc_timestamp(_col(instant), _col(zone)), form)

@@ -3,7 +3,7 @@
 Two strings whose ratio (1 - distance / longer length) reaches ``t`` differ by at most
 d = (1 - t) * longer edits.  One edit destroys at most two padded bigrams, so they share
 all but 2d of them, and with bigrams in one global order, rarest first, a shared one
-stands among the first 2d + 1 of each.  Only those are joined, and every hit is verified
+stands among the first 2d + 1 of each.  Only those are joined, between strings of like length, and every hit is verified
 with the real distance, so the result is exact.  Repeated bigrams of a string count as
 different ones (numbered), which keeps the bound right.
 """
@@ -40,7 +40,11 @@ def similar_pairs(left: DataFrame, right: DataFrame, ratio: float) -> DataFrame:
     b = right.filter("r is not null and r <> ''").select("r").distinct()
     ga, gb = written(_bigrams(a, "l"), "bigrams"), written(_bigrams(b, "r"), "bigrams")
     order = broadcast_if_small(written(gb.groupBy("gram").agg(F.count("*").alias("freq")), "bigram-order"), 200_000)
-    hits = _prefix(ga, "l", order, ratio).join(_prefix(gb, "r", order, ratio), "gram")
+    # the length is part of the key: a common gram brings only strings of like length together
+    lengths = F.sequence(F.ceil(F.length("l") * ratio - 1e-9).cast("int"), F.floor(F.length("l") / ratio + 1e-9).cast("int"))
+    asked = _prefix(ga, "l", order, ratio).withColumn("len", F.explode(lengths))
+    held = _prefix(gb, "r", order, ratio).withColumn("len", F.length("r"))
+    hits = asked.join(held, ["gram", "len"])
     longer, shorter = F.greatest(F.length("l"), F.length("r")), F.least(F.length("l"), F.length("r"))
     hits = hits.filter(longer - shorter <= (1 - ratio) * longer + 1e-9).select("l", "r").distinct()
     return hits.withColumn("score", similarity("l", "r")).filter(F.col("score") >= ratio - 1e-12)

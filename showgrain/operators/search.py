@@ -9,54 +9,66 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 4096  # query vectors that are sent to the tasks at a time
+BLOCK = 4096  # vectors of one block
 
 
-def cosine_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, ident: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
-    """``query_id``, ``vec_id``, ``score``, ``rank``: the k rows most like each query.
+def _packed(block: int):
+    """Unit vectors of one length packed as blocks: ``dim``, ``ids`` and ``m`` (64-bit, row by row)."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: dict[int, list[tuple[int, np.ndarray]]] = {}
+
+        def block_of(dim: int) -> pd.DataFrame:
+            rows = held.pop(dim)
+            return pd.DataFrame({"dim": [dim], "ids": [[i for i, _ in rows]], "m": [np.stack([v for _, v in rows]).tobytes()]})
+
+        for b in batches:
+            for i, v in zip(b.id, b.v, strict=True):
+                x = np.asarray(v, dtype=np.float64)
+                norm = np.linalg.norm(x) if len(x) else 0.0
+                if not norm or not np.isfinite(norm):
+                    continue
+                held.setdefault(len(x), []).append((i, x / norm))
+                if len(held[len(x)]) == block:
+                    yield block_of(len(x))
+        for dim in list(held):
+            yield block_of(dim)
+
+    return run
 
-    Queries go to the tasks in blocks of bounded size, one matrix product a batch; every
-    task keeps its own k best of each query, so the final ranking shuffles k rows a task
-    and query.  Ties (after rounding to 4 places) take the smaller id.  Null, empty and
-    zero vectors and those of another length match nothing.
-    """
-    numbered = queries.filter(F.col(vector).isNotNull()).select(F.col(ident).alias("query_id"), F.col(vector).alias("v"))
-    n = numbered.count()
-    blocks = max(1, -(-n // block))
-    numbered = numbered.withColumn("b", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
-    found = None
-    for i in range(blocks):
-        held = numbered.filter(F.col("b") == i).orderBy("query_id").toPandas()
-        held = held[[len(v) > 0 and bool(np.any(np.asarray(v))) for v in held.v]]
-        if not len(held):
-            continue
-        m = np.stack(held.v.to_numpy()).astype(np.float64)
-        m /= np.linalg.norm(m, axis=1, keepdims=True)
-        shared = rows.sparkSession.sparkContext.broadcast((held.query_id.to_numpy(), m))
-        part = rows.select(F.col(ident).alias("vec_id"), F.col(vector).alias("v")).filter("v is not null").mapInPandas(_best(shared, k), "query_id long, vec_id long, score double")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return rows.sparkSession.createDataFrame([], "query_id long, vec_id long, score double, rank int")
-    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
+def _best(k: int):
+    """The k best rows of each query in a pair of blocks."""
 
-def _best(shared, k: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        qid, m = shared.value
-        kept: pd.DataFrame | None = None
         for b in batches:
-            b = b[[len(v) == m.shape[1] for v in b.v]]
-            if not len(b):
-                continue
-            x = np.stack(b.v.to_numpy()).astype(np.float64)
-            norm = np.linalg.norm(x, axis=1)
-            x, ids = x[norm > 0] / norm[norm > 0, None], b.vec_id.to_numpy()[norm > 0]
-            s = np.round(m @ x.T, 4)
-            out = pd.DataFrame({"query_id": np.repeat(qid, len(ids)), "vec_id": np.tile(ids, len(qid)), "score": s.ravel()})
-            kept = out if kept is None else pd.concat([kept, out])
-            kept = kept.sort_values(["query_id", "score", "vec_id"], ascending=[True, False, True]).groupby("query_id").head(k)
-        if kept is not None:
-            yield kept
+            for qd, qi, qm, rd, ri, rm in zip(b.q_dim, b.q_ids, b.q_m, b.dim, b.ids, b.m, strict=True):
+                if qd != rd:
+                    continue
+                q, r, ids = np.frombuffer(qm).reshape(-1, qd), np.frombuffer(rm).reshape(-1, rd), np.asarray(ri)
+                s = np.round(q @ r.T, 4)
+                # by score, then by id
+                order = np.lexsort((np.broadcast_to(ids, s.shape), -s), axis=1)[:, :k]
+                n = order.shape[1]
+                yield pd.DataFrame({"query_id": np.repeat(np.asarray(qi), n), "vec_id": ids[order].ravel(), "score": np.take_along_axis(s, order, 1).ravel()})
 
     return run
+
+
+def cosine_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, ident: str = "vec_id", vector: str = "embedding", block: int = BLOCK) -> DataFrame:
+    """``query_id``, ``vec_id``, ``score``, ``rank``: the k rows most like each query.
+
+    Both sides are packed into blocks of unit vectors where they are read; blocks of queries meet
+    blocks of rows, a matrix product each, and of a pair of blocks only the k best of each query go
+    on.  Nothing goes through the driver, and both sides are read once.  Ties (after rounding
+    to 4 places) take the smaller id.  Null, empty and zero vectors and those of another length
+    match nothing.
+    """
+    take = lambda d: d.filter(F.col(vector).isNotNull() & F.col(ident).isNotNull()).select(F.col(ident).cast("long").alias("id"), F.col(vector).alias("v"))
+    schema = "dim int, ids array<long>, m binary"
+    q = take(queries).mapInPandas(_packed(block), schema).withColumnsRenamed({"dim": "q_dim", "ids": "q_ids", "m": "q_m"})
+    r = take(rows).mapInPandas(_packed(block), schema)
+    # a stated query set against all rows, block by block
+    found = r.crossJoin(q).mapInPandas(_best(k), "query_id long, vec_id long, score double")
+    w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)

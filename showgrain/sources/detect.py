@@ -9,22 +9,30 @@ from showgrain.functions.columns import no_value
 
 #: Platform and the signs of it in an address or page, in order (fixed values).
 SIGNS = [
-    ("ical", r"\.ics(\?|$)|webcal:|begin:vcalendar"),
-    ("google_calendar", r"calendar\.google\.com"),
-    ("tec", r"/wp-json/tribe/events|tribe-events"),
-    ("eventon", r"eventon|evcal_"),
-    ("mec", r"mec-event|/wp-json/mec"),
-    ("events_manager", r"events-manager|em-event"),
-    ("seatengine", r"seatengine"),
-    ("prekindle", r"prekindle"),
-    ("spotapps", r"spotapps|spothopper"),
-    ("squarespace", r"squarespace|eventlist-event"),
-    ("webflow", r"webflow|w-dyn-item"),
-    ("livenation", r"ticketmaster|livenation"),
-    ("eventbrite", r"eventbrite"),
-    ("bandsintown", r"bandsintown"),
-    ("jsonld", r"application/ld\+json"),
-    ("wordpress", r"wp-content"),
+    ("ical", r"\.ics(\?|$|\n)|webcal:|text/calendar|begin:vcalendar"),
+    ("google_calendar", r"calendar\.google\.com|google\.com/calendar"),
+    ("eventbrite", r"eventbrite\.com|eventbrite-widget"),
+    ("bandsintown", r"bandsintown\.com|bandsintown-widget"),
+    ("axs", r"axs\.com"),
+    ("event_discovery", r"event-discovery|get_events_for_calendar"),
+    ("seatengine", r"seatengine\.com|id=[\"']se-calendar[\"']"),
+    ("ace_calendar", r"ace-calendar\.js|ace-api/events|ace-cal-list-|calendarkeyword"),
+    ("squarespace_events", r"(?s)(?=.*(squarespace|sqspcdn))(?=.*(eventlist-event|eventlist-title))"),
+    ("squarespace_user_items", r"(?s)(?=.*user-items-list)(?=.*list-item-content__(title|button))"),
+    ("zoogle", r"zoogletools\.com|data-occurrence-id|calendar_feature_"),
+    ("columns", r"(?s)(?=.*event-column d-flex)(?=.*event-tag)(?=.*event-date)"),
+    ("media_cards", r"(?s)(?=.*upcoming-shows)(?=.*card events)(?=.*media-left)"),
+    ("livenation", r"livenation|ticketmaster\.com"),
+    ("webflow", r"(?s)(?=.*(website-files\.com|webflow))(?=.*/events/)"),
+    ("spacecrafted", r"spacecrafted\.com|eventcoll-item|itemscollectioncontent"),
+    ("spotapps", r"(?s)(?=.*event-calendar-card)(?=.*(pinboardagendacontainer|data-event-start-date|events-pinboard-view))|(?=.*static\.spotapps\.co)(?=.*(event-image|events-holder|atc_date_start|event-calendar-card))|(?=.*events-holder)(?=.*event-time)(?=.*atc_date_start)"),
+    ("events_manager", r"(?s)em-cal-body|em-cal-days|event_notes|events-manager/v1|(?=.*event_name)(?=.*event_date)(?=.*event_id=)"),
+    ("mec", r"/all-events/|modern-events-calendar|mec-calendar|cat_ids~"),
+    ("prekindle", r"prekindle\.com/api/events/organizer/|pk-cal-widget|pk-cal-loader|data-org-id"),
+    ("tec", r"tribe-events|the-events-calendar|tec-events|tribe_events|/events/month/"),
+    ("eventon", r"eventon|ajde_events|ajde_evcal|evcal_"),
+    ("mec", r"mec-events|mec_event"),
+    ("wordpress", r"wp-content|wordpress|wp-json"),
 ]
 
 
@@ -33,7 +41,7 @@ def platform(url: Column | str, body: Column | str | None = None) -> Column:
     text = F.lower(F.concat_ws("\n", *[F.col(c) if isinstance(c, str) else c for c in (url, body) if c is not None]))
     out = F.lit("custom_html")
     for name, sign in reversed(SIGNS):
-        out = F.when(text.rlike(sign), name).otherwise(out)
+        out = F.when(F.coalesce(text.rlike(sign), F.lit(False)), name).otherwise(out)
     return out
 
 

@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+import pandas as pd
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from showgrain.functions.columns import decode_entities, no_value, strip_html
 from showgrain.sources import event_row
 
+_PARAGRAPHS = re.compile(r"\n\s*\n")
+
 
 @dataclass(frozen=True)
 class Cards:
@@ -54,17 +59,30 @@ def month_grid(pages: DataFrame, cell: str = r"(?is)<td[^>]*data-date=\"(\d{4}-\
 
 def day_blocks(pages: DataFrame, header: str = r"^(?:Mon|Tue|Wed|Thu|Fri|Sat|Sun)[a-z]*,? .*\d{1,2}") -> DataFrame:
     """Lines of a text under their day header: ``url``, ``day_text``, ``_pos``, ``line``."""
-    # a page is one row and its lines one array: segmented within the row, without a shuffle
-    grouped = pages.select("url", F.split("body", r"\r?\n").alias("ls"))
-    walked = F.aggregate(
-        "ls",
-        F.struct(F.lit("").alias("d"), F.array().cast("array<struct<day_text:string,line:string>>").alias("out")),
-        lambda acc, x: F.when(x.rlike(header), F.struct(F.trim(x).alias("d"), acc["out"].alias("out"))).otherwise(
-            F.struct(acc["d"].alias("d"), F.when((F.trim(x) != "") & (acc["d"] != ""), F.concat(acc["out"], F.array(F.struct(acc["d"].alias("day_text"), F.trim(x).alias("line"))))).otherwise(acc["out"]).alias("out"))
-        ),
-        lambda acc: acc["out"],
-    )
-    return grouped.select("url", F.posexplode(walked).alias("_pos", "x")).select("url", "_pos", "x.day_text", "x.line")
+    # cut ahead of each header, so a long page costs no more than its length
+    at = header.removeprefix("^")
+    blocks = pages.select("url", F.posexplode(F.split("body", rf"(?m)(?=^{at})")).alias("_block", "b"))
+    lines = F.transform(F.split("b", r"\r?\n"), lambda x: F.trim(x))
+    blocks = blocks.withColumn("ls", lines).filter(F.get("ls", F.lit(0)).rlike(header))
+    rest = F.filter(F.slice("ls", 2, 1 << 30), lambda x: x != "")
+    out = blocks.select("url", "_block", F.get("ls", F.lit(0)).alias("day_text"), F.posexplode(rest).alias("_line", "line"))
+    place = F.row_number().over(Window.partitionBy("url").orderBy("_block", "_line")) - 1
+    return out.select("url", place.cast("int").alias("_pos"), "day_text", "line")
+
+
+def packed_paragraphs(text: str | None, longest: int) -> Iterator[str]:
+    """Chunks of whole paragraphs, of at most ``longest`` characters but for a paragraph that alone is longer."""
+    held, size = [], 0
+    for p in _PARAGRAPHS.split(text or ""):
+        if not p.strip():
+            continue
+        if held and size + len(p) > longest:
+            yield "\n\n".join(held)
+            held, size = [], 0
+        held.append(p)
+        size += len(p) + 2
+    if held:
+        yield "\n\n".join(held)
 
 
 def chunks(pages: DataFrame, longest: int = 8000) -> DataFrame:
@@ -72,10 +90,10 @@ def chunks(pages: DataFrame, longest: int = 8000) -> DataFrame:
 
     A paragraph longer than that is a chunk of its own, whole.
     """
-    paragraphs = F.filter(F.split("body", r"\n\s*\n"), lambda p: F.trim(p) != "")
-    packed = F.aggregate(
-        paragraphs,
-        F.array().cast("array<string>"),
-        lambda acc, p: F.when((F.size(acc) > 0) & (F.length(F.get(acc, F.size(acc) - 1)) + F.length(p) + 2 <= longest), F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.concat(F.get(acc, F.size(acc) - 1), F.lit("\n\n"), p)))).otherwise(F.concat(acc, F.array(p))),
-    )
-    return pages.select("url", F.posexplode(packed).alias("_pos", "chunk"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            out = [(u, i, c) for u, t in zip(b.url, b.body, strict=True) for i, c in enumerate(packed_paragraphs(t, longest))]
+            yield pd.DataFrame(out, columns=["url", "_pos", "chunk"])
+
+    return pages.select("url", "body").mapInPandas(run, "url string, _pos int, chunk string")
