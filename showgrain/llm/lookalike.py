@@ -22,15 +22,21 @@ from pyspark.sql import types as T
 from showgrain.functions.text import BLANKS, LOOK_ALIKES, compatibility_forms, invisible_class
 from showgrain.session import written
 
+SALTS = 4
+
 
 def form_expression(column: str) -> str:
     """SQL for the consistent form of ``column``: widths, blanks, invisible marks, scripts, accents."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
     single = {c: p for c, p in compatibility_forms().items() if len(p) == 1} | {c: " " for c in BLANKS} | LOOK_ALIKES
-    several = {c: p for c, p in compatibility_forms().items() if len(p) > 1 and (0xFB00 <= ord(c) <= 0xFB06 or c == "…")}
-    e = f"regexp_replace(nfc_normalize({column}), '[{invisible_class()}]', '', 'g')"
+    several = {c: p for c, p in compatibility_forms().items() if len(p) > 1}
+    seen = f"regexp_replace(nfc_normalize({column}), '[{invisible_class()}]', '', 'g')"
+    e = seen
     for c, p in several.items():
         e = f"replace({e}, {quote(c)}, {quote(p)})"
+    # characters that stand for several are rare: the chain runs on texts that hold one
+    any_of = "".join(rf"\x{{{ord(c):X}}}" for c in several)
+    e = f"CASE WHEN regexp_matches({seen}, '[{any_of}]') THEN {e} ELSE {seen} END"
     e = f"translate({e}, {quote(''.join(single))}, {quote(''.join(single.values()))})"
     # a look-alike with a combining mark has its composed form only now
     return f"trim(nfc_normalize({e}))"
@@ -81,7 +87,9 @@ def alike_pairs(rows: DataFrame, fields: tuple[str, ...] = ("title", "descriptio
     a, b = formed.alias("a"), formed.alias("b")
     same = [F.col(f"a.{k}") == F.col(f"b.{k}") for k in [*key, "form"]]
     spellings = a.join(b, [*same, F.col("a.text_id") < F.col("b.text_id")]).select(*[F.col(f"a.{k}").alias(k) for k in key], F.col("a.text_id").alias("one"), F.col("b.text_id").alias("two"))
-    rows = long.select(*key, "text_id", "_ord")
-    left = spellings.join(rows.withColumnsRenamed({"text_id": "one", "_ord": "x"}), [*key, "one"])
-    both = left.join(rows.withColumnsRenamed({"text_id": "two", "_ord": "y"}), [*key, "two"])
+    # a listing may hold a third of all rows: its rows are spread over salts
+    rows = long.select(*key, "text_id", "_ord", F.pmod(F.hash("_ord"), F.lit(SALTS)).alias("salt"))
+    salted = lambda d: d.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    left = salted(spellings).join(rows.withColumnsRenamed({"text_id": "one", "_ord": "x"}), [*key, "one", "salt"]).drop("salt")
+    both = salted(left).join(rows.withColumnsRenamed({"text_id": "two", "_ord": "y"}), [*key, "two", "salt"])
     return both.select(F.least("x", "y").alias("ord_lo"), F.greatest("x", "y").alias("ord_hi"), "field_name")
