@@ -139,7 +139,11 @@ def limits(docs: DataFrame) -> DataFrame:
 
 
 def judged(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``source``, ``at_limit`` and ``cut`` of every document that has a text."""
+    """``doc_id``, ``source``, ``at_limit``, ``cut`` and ``sign`` (what told) of every document that has a text.
+
+    sign: 'broken' (a broken character or entity), 'marked' (a marker behind), 'limit' (a length
+    limit) or 'ending' (none of these, only an unfinished sentence).
+    """
     of = lambda unit: F.collect_set(F.when(F.col("unit") == unit, F.col("at")))
     found = written(limits(docs), "limits").groupBy("source").agg(of("chars").alias("_at_c"), of("bytes").alias("_at_b"), of("marked").alias("_at_m"))
     found = broadcast_if_small(found.withColumnRenamed("source", "_s"))
@@ -157,7 +161,8 @@ def judged(docs: DataFrame) -> DataFrame:
         .when(at_limit, open_end & ~F.col("_last").rlike(WHOLE))
         .otherwise(open_end & ~F.col("_last").rlike(FINISHED))
     )
-    return d.select("doc_id", "source", at_limit.alias("at_limit"), cut.alias("cut"))
+    sign = F.when(broken, "broken").when(F.col("_marked"), "marked").when(at_limit, "limit").otherwise("ending")
+    return d.select("doc_id", "source", at_limit.alias("at_limit"), cut.alias("cut"), sign.alias("sign"))
 
 
 def truncated(docs: DataFrame) -> DataFrame:
@@ -166,9 +171,13 @@ def truncated(docs: DataFrame) -> DataFrame:
 
 
 def truncation_by_source(docs: DataFrame) -> DataFrame:
-    """For each source its documents with text, those cut, and the share."""
+    """For each source its documents with text, those cut, those of them at a length limit, those told by each other sign alone, and the share."""
+    by = lambda sign: F.count_if(F.col("cut") & ~F.col("at_limit") & (F.col("sign") == sign))
     return (
         judged(docs).groupBy("source")
-        .agg(F.count("*").alias("n_docs"), F.count_if("cut").alias("n_cut"), F.count_if(F.col("cut") & F.col("at_limit")).alias("n_at_limit"))
+        .agg(
+            F.count("*").alias("n_docs"), F.count_if("cut").alias("n_cut"), F.count_if(F.col("cut") & F.col("at_limit")).alias("n_at_limit"),
+            by("marked").alias("n_marked"), by("broken").alias("n_broken"), by("ending").alias("n_by_ending"),
+        )
         .withColumn("share_cut", F.round(F.col("n_cut") / F.col("n_docs"), 6))
     )
