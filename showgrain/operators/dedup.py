@@ -5,7 +5,8 @@ winners so far; it is not transitive, so no component algorithm gives the same r
 The work splits without changing it: a match needs equal venue and title form and starts
 on one UTC day or at most 18 hours apart, so a group falls apart wherever two successive
 starts are neither.  Each such run is scanned as a stream that keeps only its winners.
-Only the numbering of runs sorts the keys of one venue and title in one task (spilling).
+Runs are numbered over the distinct starts of a venue and title, so rows, however many
+there are to a start, are never sorted together for that.
 """
 
 from __future__ import annotations
@@ -82,11 +83,12 @@ def cluster(rows: DataFrame) -> DataFrame:
     those with equal ticket join.  The winner has the highest score, the first of equals.
     """
     rows = rows.withColumn("form", F.coalesce("form", F.lit(""))).withColumn("venue", F.coalesce("venue", F.lit("")))
-    w = Window.partitionBy("venue", "form").orderBy("start", "ord")
+    starts = rows.filter("start is not null").select("venue", "form", "start").distinct()
+    w = Window.partitionBy("venue", "form").orderBy("start")
     before = F.lag("start").over(w)
     new_run = F.when(before.isNull() | ((F.floor(before / 86400) != F.floor(F.col("start") / 86400)) & (F.col("start") - before > NEAR_S)), 1).otherwise(0)
-    runs = rows.filter("start is not null").withColumn("_new", new_run).withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = runs.select("ord", "venue", "form", "run", "start", "ticket", "score").unionByName(
+    numbered = starts.withColumn("_new", new_run).withColumn("run", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0))).drop("_new")
+    runs = rows.join(numbered, ["venue", "form", "start"]).select("ord", "venue", "form", "run", "start", "ticket", "score").unionByName(
         rows.filter("start is null").select("ord", "venue", "form", F.lit(0).cast("bigint").alias("run"), "start", "ticket", "score")
     )
     scanned = runs.repartition("venue", "form", "run").sortWithinPartitions("venue", "form", "run", "ord").mapInPandas(_scan, "ord long, cluster long, score double")

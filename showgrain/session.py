@@ -75,9 +75,13 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_if_small(df: DataFrame, bound: int = SMALL_SIDE_ROWS) -> DataFrame:
-    """``df`` marked for broadcast when a count proves at most ``bound`` rows, else as it is."""
-    return F.broadcast(df) if df.limit(bound + 1).count() <= bound else df
+def broadcast_if_small(df: DataFrame, bound: int = SMALL_SIDE_ROWS, rows: int | None = None) -> DataFrame:
+    """``df`` marked for broadcast when a count proves at most ``bound`` rows, else as it is.
+
+    rows: an upper bound of the rows where one was counted already; then nothing is counted.
+    """
+    held = df.limit(bound + 1).count() if rows is None else rows
+    return F.broadcast(df) if held <= bound else df
 
 
 def spread(df: DataFrame) -> DataFrame:
