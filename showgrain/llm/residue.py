@@ -189,59 +189,63 @@ def _judge(column: str):
 
 def _split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for b in batches:
-        d, s, direct = [], [], []
-        for digest, text in zip(b.digest, b.description, strict=True):
+        d, n, s, direct = [], [], [], []
+        for digest, rows, text in zip(b.digest, b.n, b.description, strict=True):
             form = mixed_script_fold(text)
             parts = [_plain(x) for x in segments(form)]
             if parts:
-                d.append(digest), s.append(list(dict.fromkeys(parts)))
+                d.append(digest), n.append(rows), s.append(list(dict.fromkeys(parts)))
                 direct.append(has_slot(form) or all_missing(" ".join(parts).strip(" \"'“”*·-–—|>")))
-        yield frame({"digest": d, "segments": s, "direct": direct})
+        yield frame({"digest": d, "n": n, "segments": s, "direct": direct})
 
 
 def mine_templates(segments_: DataFrame) -> DataFrame:
-    """Distinct ``segment`` values with their ``template`` and how many of its tokens were ``kept``."""
+    """Distinct ``segment`` values (other columns stay) with their ``template`` and the share of its tokens that was ``kept``."""
     # signs around a token do not tell templates apart
     tokens = F.transform(F.split("segment", " "), lambda t: F.regexp_replace(t, r"^\p{P}+(?=.)|(?<=.)\p{P}+$", ""))
-    cut = segments_.select("segment", tokens.alias("tokens")).withColumn("leaf", F.concat_ws("|", F.size("tokens").cast("string"), *[F.coalesce(F.get("tokens", F.lit(i)), F.lit("")) for i in range(DEPTH)]))
+    cut = segments_.withColumn("tokens", tokens).withColumn("leaf", F.concat_ws("|", F.size("tokens").cast("string"), *[F.coalesce(F.get("tokens", F.lit(i)), F.lit("")) for i in range(DEPTH)]))
     cut = written(cut, "segments")
-    # the first tokens are the leaf's own
+    # a leaf of one segment keeps it as it is; the first tokens are the leaf's own
+    sizes = cut.groupBy("leaf").agg(F.count("*").alias("size")).filter("size > 1")
     long = cut.select("leaf", F.posexplode("tokens").alias("place", "token")).filter(F.col("place") >= DEPTH)
     held = long.groupBy("leaf", "place", "token").agg(F.count("*").alias("n")).filter("n > 1")
-    sizes = cut.groupBy("leaf").agg(F.count("*").alias("size")).filter("size > 1")
-    keep = held.join(sizes, "leaf").filter(F.col("n") >= CONSTANT * F.col("size")).groupBy("leaf").agg(F.collect_set(F.concat_ws(" ", F.col("place").cast("string"), "token")).alias("keep"))
     # of a leaf at most 1 / CONSTANT tokens a place are kept
-    out = cut.join(keep, "leaf", "left")
-    stays = lambda t, i: (i < DEPTH) | F.coalesce(F.array_contains("keep", F.concat_ws(" ", i.cast("string"), t)), F.lit(False))
+    keep = held.join(sizes, "leaf").filter(F.col("n") >= CONSTANT * F.col("size")).groupBy("leaf").agg(F.collect_set(F.concat_ws(" ", F.col("place").cast("string"), "token")).alias("keep"))
+    stays = lambda t, i: (i < DEPTH) | F.array_contains("keep", F.concat_ws(" ", i.cast("string"), t))
     masked = F.transform("tokens", lambda t, i: F.when(stays(t, i), t).otherwise("<*>"))
-    out = out.withColumn("masked", masked)
-    # in a leaf of one segment the segment is its own template
+    out = cut.join(keep, "leaf", "left").withColumn("masked", masked)
     known = F.col("keep").isNotNull()
-    return out.select("segment", F.when(known, F.array_join("masked", " ")).otherwise(F.col("segment")).alias("template"), F.when(known, F.size(F.filter("masked", lambda t: t != "<*>")) / F.size("masked")).otherwise(1.0).alias("kept"))
+    return out.select(
+        *segments_.columns,
+        F.when(known, F.array_join("masked", " ")).otherwise(F.col("segment")).alias("template"),
+        F.when(known, F.size(F.filter("masked", lambda t: t != "<*>")) / F.size("masked")).otherwise(1.0).alias("kept"),
+    )
 
 
-def classified(parts: DataFrame, texts: DataFrame) -> DataFrame:
-    """``segment`` of all segments whose template, or which themselves, are residue.
+def classified(parts: DataFrame, direct: DataFrame, places: DataFrame) -> DataFrame:
+    """``digest`` of all texts that hold residue.
 
-    parts: ``digest``, ``segment``; texts: ``digest``, ``direct``, ``n`` (records), ``sources``.
+    parts: ``digest``, ``n`` (its records), ``segment``; direct: ``digest`` of texts with a slot; places:
+    ``digest``, ``source``.
     """
-    distinct = parts.groupBy("segment").agg(F.count("*").alias("n_texts"))
-    own = distinct.mapInPandas(_judge("segment"), "segment string, n_texts long, bad boolean")
-    mined = written(mine_templates(distinct).join(own, "segment"), "templates")
-    text = mined.select("template").distinct().mapInPandas(_judge("template"), "template string, bad boolean").filter("bad").select("template")
-    members = mined.groupBy("template").agg(F.sum("n_texts").alias("n"), F.sum(F.when(F.col("bad"), F.col("n_texts")).otherwise(0)).alias("n_bad"), F.min("kept").alias("kept"))
-    by_members = members.filter((F.col("kept") >= KEPT) & (F.col("n_bad") >= AGREED * F.col("n"))).select("template")
-    first = written(text.unionByName(by_members).distinct(), "bad-templates")
-    # companions: only templates of several texts can stand in several sources
-    often = members.filter(F.col("n") >= LEAST_SOURCES).select("template").join(first, "template", "left_anti")
-    bad = mined.join(first, "template", "left_semi").select("segment").unionByName(mined.filter("bad").select("segment")).distinct()
-    bad_text = parts.join(bad, "segment", "left_semi").select("digest").distinct().unionByName(texts.filter("direct").select("digest")).distinct().withColumn("beside", F.lit(True))
-    frequent = mined.join(often, "template").select("segment", "template")
-    stand = parts.join(frequent, "segment").select("template", "digest").distinct().join(texts.select("digest", "n", "sources"), "digest").join(bad_text, "digest", "left")
-    seen = stand.groupBy("template").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("beside"), F.col("n")).otherwise(0)).alias("n_beside"))
-    beside = seen.filter(F.col("n_beside") >= AGREED * F.col("n")).select("template")
-    wide = stand.join(beside, "template", "left_semi").select("template", F.explode("sources").alias("source")).distinct().groupBy("template").count().filter(F.col("count") >= LEAST_SOURCES).select("template")
-    return bad.unionByName(mined.join(wide, "template", "left_semi").select("segment")).distinct()
+    distinct = parts.groupBy("segment").agg(F.sum("n").alias("n"))
+    judged = spread(distinct).mapInPandas(_judge("segment"), "segment string, n long, bad boolean")
+    mined = written(mine_templates(judged), "templates")
+    # the constant text of a template without wildcards is that of its segments
+    text = mined.filter("kept < 1").select("template").distinct().mapInPandas(_judge("template"), "template string, bad boolean").filter("bad").select("template")
+    members = mined.groupBy("template").agg(F.sum("n").alias("n"), F.sum(F.when(F.col("bad"), F.col("n")).otherwise(0)).alias("n_bad"), F.min("kept").alias("kept"))
+    by_members = members.filter((F.col("kept") >= KEPT) & (F.col("n_bad") > 0) & (F.col("n_bad") >= AGREED * F.col("n"))).select("template")
+    first = broadcast_if_small(written(text.unionByName(by_members).distinct(), "bad-templates"))
+    bad = written(mined.join(first, "template", "left_semi").select("segment").unionByName(mined.filter("bad").select("segment")).distinct(), "bad-segments")
+    bad_texts = written(parts.join(broadcast_if_small(bad), "segment", "left_semi").select("digest").unionByName(direct).distinct(), "bad-texts")
+    # companions: what stands beside residue is counted in those texts only, and set against all records of the template
+    beside = parts.join(broadcast_if_small(bad_texts), "digest", "left_semi").groupBy("segment").agg(F.sum("n").alias("n_beside"))
+    often = mined.join(beside, "segment", "left").groupBy("template").agg(F.sum("n").alias("n"), F.sum("n_beside").alias("n_beside"))
+    often = often.filter((F.col("n") >= LEAST_SOURCES) & (F.col("n_beside") >= AGREED * F.col("n"))).join(first, "template", "left_anti")
+    company = written(mined.join(often, "template").select("segment", "template"), "company")
+    stand = written(parts.join(broadcast_if_small(company), "segment").select("template", "digest").distinct(), "stand")
+    wide = places.join(broadcast_if_small(stand), "digest").select("template", "source").distinct().groupBy("template").count().filter(F.col("count") >= LEAST_SOURCES)
+    return bad_texts.unionByName(stand.join(wide, "template", "left_semi").select("digest")).distinct()
 
 
 def residue(rows: DataFrame) -> DataFrame:
@@ -250,12 +254,8 @@ def residue(rows: DataFrame) -> DataFrame:
     held = rows.select("source_table", "record_id", "description", source.alias("source")).filter("record_id is not null and coalesce(trim(description), '') <> ''")
     held = held.withColumn("digest", F.md5("description"))
     # descriptions repeat from batch to batch: each is folded and cut once
-    once = held.groupBy("digest", "source").agg(F.min("description").alias("description"), F.count("*").alias("n")).groupBy("digest")
-    # of the sources of one text so many as the rule asks for are enough
-    once = written(once.agg(F.min("description").alias("description"), F.sum("n").alias("n"), F.slice(F.sort_array(F.collect_set("source")), 1, LEAST_SOURCES).alias("sources")), "texts")
-    cut = written(spread(once.select("digest", "description")).mapInPandas(_split, "digest string, segments array<string>, direct boolean"), "cut")
-    texts = cut.select("digest", "direct").join(once.select("digest", "n", "sources"), "digest")
-    parts = cut.select("digest", F.explode("segments").alias("segment"))
-    bad = classified(parts, texts)
-    found = written(cut.filter("direct").select("digest").unionByName(parts.join(bad, "segment", "left_semi").select("digest")).distinct(), "found")
+    once = held.groupBy("digest").agg(F.first("description").alias("description"), F.count("*").alias("n"))
+    cut = written(once.mapInPandas(_split, "digest string, n long, segments array<string>, direct boolean"), "cut")
+    parts = cut.select("digest", "n", F.explode("segments").alias("segment"))
+    found = written(classified(parts, cut.filter("direct").select("digest"), held.select("digest", "source")), "found")
     return held.select("source_table", "record_id", "digest").join(broadcast_if_small(found), "digest", "left_semi").select("source_table", "record_id").distinct()
