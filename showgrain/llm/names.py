@@ -264,9 +264,12 @@ def similar_tokens(typed: DataFrame, real: DataFrame) -> DataFrame:
     a token is ``trusted``, that is, stands in a name: a word that stands only in aliases may
     be a typing error itself, so meeting it does not rule out other readings.
     """
-    trusted = broadcast_if_small(real.filter("trusted").select("token"))
-    equal = typed.join(broadcast_if_small(real.select(F.col("token").alias("real"))), F.col("token") == F.col("real")).select("token", "real", F.lit(1.0).alias("sim"))
-    short = typed.mapInPandas(_full_forms, "token string, real string, sim double").join(broadcast_if_small(real.select(F.col("token").alias("real"))), "real", "left_semi").select("token", "real", "sim")
+    real = written(real, "real-tokens")
+    n_real = real.count()
+    small = lambda d: broadcast_if_small(d, rows=n_real)
+    trusted = small(real.filter("trusted").select("token"))
+    equal = typed.join(small(real.select(F.col("token").alias("real"))), F.col("token") == F.col("real")).select("token", "real", F.lit(1.0).alias("sim"))
+    short = typed.mapInPandas(_full_forms, "token string, real string, sim double").join(small(real.select(F.col("token").alias("real"))), "real", "left_semi").select("token", "real", "sim")
     grams = "token string, gram string, place int, len int"
     a = typed.filter(F.length("token") > 1).join(trusted, "token", "left_anti").mapInPandas(_gram_rows, grams)
     b = real.filter(F.length("token") > 1).select("token").mapInPandas(_gram_rows, grams)
@@ -279,7 +282,7 @@ def similar_tokens(typed: DataFrame, real: DataFrame) -> DataFrame:
     fuzzy = pairs.mapInPandas(_verify_tokens, "token string, real string, sim double")
     found = equal.unionByName(short).unionByName(fuzzy).groupBy("token", "real").agg(F.max("sim").alias("sim"))
     # a word is read in its nearest sense: one typing error away beats two
-    found = found.join(broadcast_if_small(real.select(F.col("token").alias("real"), "trusted")), "real")
+    found = found.join(small(real.select(F.col("token").alias("real"), "trusted")), "real")
     found = found.withColumn("top", F.max(F.when(F.col("trusted"), F.col("sim"))).over(Window.partitionBy("token")))
     return found.filter(F.coalesce(F.col("sim") >= F.col("top") - NEAREST, F.lit(True))).select("token", "real", "sim")
 
@@ -380,15 +383,16 @@ def variants(rows: DataFrame, catalogue: DataFrame) -> DataFrame:
         .distinct()
     )
     spelled = written(spelled, "spellings")
+    n_spelled = spelled.count()
     names = rows.filter("_ord is not null and coalesce(trim(extracted_band_name), '') <> ''").select("_ord", F.col("extracted_band_name").alias("name"), "original_title")
     exact = spelled.select(F.col("spelling").alias("name")).distinct()
-    open_names = names.join(broadcast_if_small(exact), "name", "left_anti")
+    open_names = names.join(broadcast_if_small(exact, rows=n_spelled), "name", "left_anti")
     typed = written(_with_tokens(spread(open_names.select("name").distinct()), "name"), "typed")
     known = written(_with_tokens(spelled.groupBy("spelling").agg(F.max(F.col("spelling") == F.col("artist_name")).alias("trusted")), "spelling"), "known")
     weights, unseen = token_weights(catalogue)
     pairs = candidates(typed, known)
     scored = spread(pairs).mapInPandas(_verify(rows.sparkSession.sparkContext.broadcast(weights), unseen), "name string, spelling string, score double, initial boolean")
-    scored = scored.join(broadcast_if_small(spelled), "spelling").withColumnRenamed("id", "artist_id")
+    scored = scored.join(broadcast_if_small(spelled, rows=n_spelled), "spelling").withColumnRenamed("id", "artist_id")
     best = scored.groupBy("name", "artist_id", "artist_name").agg(F.max_by(F.struct("score", "initial"), F.struct("score", ~F.col("initial"))).alias("b"))
     best = best.withColumn("top", F.max("b.score").over(Window.partitionBy("name"))).filter(F.col("b.score") >= F.col("top") - MARGIN)
     rivals = written(
