@@ -27,17 +27,30 @@ OPENER = r"\sw/\s?|\swith\s|\splus\s+"
 _NONE = Known([])
 
 
-def band_name(title: str | None, venue: str | None = None) -> str:
-    """The act of a title: announcements, venue, tour and guests taken off, the first of a bill."""
+def band_name(title: str | None, venue: str | None = None, series: frozenset[str] = frozenset()) -> str:
+    """The act of a title: announcements, venue, tour and guests taken off, the first of a bill.
+
+    A series (lower case names) that stands before its guest is no act: the guest is.
+    """
     if not title:
         return ""
-    t = mixed_script_fold(title).strip()
+    t = re.sub(r"^[\[({]\s*|\s*[\])}]$|\.+$", "", mixed_script_fold(title).strip()).strip()
     if venue:
         v = re.escape(venue.strip())
         t = re.sub(rf"\s*(?:[-–—|]|\bat\b|@)\s*(?:the\s+)?{v}\s*$", "", t, flags=re.I)
+    # a line-up in brackets that was cut off with its closing bracket
+    t = re.sub(r"^(.{3,}?)\s*\([A-Z][^)]*$", r"\1", t)
+    t = re.sub(r"^.+\stribute\s*:\s*(?=\S)", "", t, flags=re.I)
+    t = re.sub(r"^(.{2,}?)\s+album\s+release\b.*$", r"\1", t, flags=re.I)
+    t = re.sub(r"^([^:]{2,}?)\s*:\s*[^:]*tour\b[^:]*$", r"\1", t, flags=re.I)
+    if m := re.search(OPENER, t, re.I):
+        head = re.sub(r"\s+", " ", t[: m.start()]).strip().lower()
+        if head in series or head.split(":")[-1].strip() in series:
+            t = t[m.end() :]
     t = undecorated(t, _NONE)
     t = re.sub(PRESENTS, "", t, flags=re.I)
     t = re.sub(rf"^{CREDITS}", "", t, flags=re.I)
+    t = re.sub(r"\s+(?:&|and)\s+friends$", "", t, flags=re.I)
     acts = split_values(t, _NONE)
     return (acts[0] if acts else t).strip(" .,-–—")
 

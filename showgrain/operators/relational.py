@@ -103,6 +103,12 @@ def contains_pattern(df: DataFrame, patterns: DataFrame, text: str, bound: int =
     return pairs.withColumn("score", F.length("pattern") + F.when(F.startswith(F.col(text), F.col("pattern")), 20).otherwise(0))
 
 
+def in_box(df: DataFrame, south: float, west: float, north: float, east: float, lat: str = "lat", lng: str = "lng") -> DataFrame:
+    """Rows within a box of degrees; a box over the date line has its west edge east of its east edge. Rows without a place are out."""
+    within = F.col(lng).between(west, east) if west <= east else (F.col(lng) >= west) | (F.col(lng) <= east)
+    return df.filter(F.col(lat).between(south, north) & within)
+
+
 # --- order-dependent --------------------------------------------------------------
 def first_wins(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(order)

@@ -72,3 +72,15 @@ def cosine_top_k(rows: DataFrame, queries: DataFrame, k: int = 10, ident: str =
     found = r.crossJoin(q).mapInPandas(_best(k), "query_id long, vec_id long, score double")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def fused(lists: list[DataFrame], k: int, damping: int = 60) -> DataFrame:
+    """``id``, ``score``, ``rank``: ranked lists (``id``, ``rank`` from 1) as one, by the sum of 1 / (damping + rank).
+
+    An id counts in each list it stands in; ties take the smaller id.
+    """
+    both = lists[0].select("id", "rank")
+    for x in lists[1:]:
+        both = both.unionByName(x.select("id", "rank"))
+    best = both.groupBy("id").agg(F.round(F.sum(1 / (damping + F.col("rank"))), 8).alias("score")).orderBy(F.desc("score"), "id").limit(k)
+    return best.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("score"), "id")))

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from showgrain.functions import columns as C
 from showgrain.functions import times as X
+from showgrain.functions.links import IMAGE_POINTS, image_points
 from showgrain.operators import collapse, generate
 from showgrain.operators import relational as R
 from showgrain.plans.reference import _SCORE, _TK, AS_OF, AS_OF_S, NORM, L, as_of, listings
@@ -116,12 +117,15 @@ def weekday_rules(spark, root):
     return out.select("id", F.date_format("date", "yyyy-MM-dd").alias("on_date"))
 
 
-@query("""SELECT venue_id, max_by_image AS image_url FROM (SELECT venue_id, first(image_url) OVER (PARTITION BY venue_id ORDER BY length(image_url) DESC, image_url) AS max_by_image, row_number() OVER (PARTITION BY venue_id ORDER BY length(image_url) DESC, image_url) AS k
-FROM partner_event WHERE trim(image_url) <> '' AND venue_id IS NOT NULL) WHERE k = 1""")
+_POINTS = " + ".join(f"CASE WHEN regexp_matches(lower(image_url), '{p}') THEN {n} ELSE 0 END" for p, n in IMAGE_POINTS)
+
+
+@query(f"""SELECT venue_id, image_url FROM (SELECT DISTINCT venue_id, image_url, {_POINTS} AS points FROM partner_event WHERE trim(image_url) <> '' AND venue_id IS NOT NULL) QUALIFY row_number() OVER (PARTITION BY venue_id ORDER BY points DESC, image_url) = 1""")
 def best_image(spark, root):
-    """The best-scored image of each venue; the longest address stands in for the score."""
+    """The image of each venue that scores highest, combined before the shuffle."""
     p = table(spark, root, "partner_event").filter("trim(image_url) <> '' and venue_id is not null")
-    return R.top_k(p.select("venue_id", "image_url").distinct(), ["venue_id"], 1, F.desc(F.length("image_url")), F.col("image_url")).select("venue_id", "image_url")
+    return p.groupBy("venue_id").agg(F.min_by("image_url", F.struct(-image_points("image_url"), "image_url")).alias("image_url"))
+
 
 
 @query("""SELECT p.id, v.address, coalesce(nullif(trim(p.image_url), ''), nullif(trim(v.website_url), '')) AS media FROM prekindle_event p LEFT JOIN venue v ON p.venue_id = v.id""")

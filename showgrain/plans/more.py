@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from showgrain.functions import columns as C
 from showgrain.functions import links as K
 from showgrain.functions import times as X
-from showgrain.operators import fuzzy, sinks, surface
+from showgrain.operators import fuzzy, search, sinks, surface
 from showgrain.operators import relational as R
 from showgrain.plans.reference import _SIDES, AS_OF_S, NORM, SERIES, L, as_of, listings
 from showgrain.session import broadcast_if_small, new_folder, table, written
@@ -218,6 +218,43 @@ def group_siblings(spark, root):
     return v.join(other, ["city", "grp"]).filter("id <> sibling").select("id", "sibling")
 
 
+@query("SELECT id, len(l) AS n, array_to_string(l, ',') AS genres FROM (SELECT a.id, list(g ORDER BY g) AS l FROM (SELECT id, unnest(genres) AS g FROM artist) a GROUP BY a.id)")
+def listed_categories(spark, root):
+    """Entities joined over a bridge to their categories, as a list."""
+    bridge = table(spark, root, "artist").select("id", F.explode("genres").alias("g"))
+    dim = bridge.select(F.col("g").alias("name")).distinct()
+    out = bridge.join(broadcast_if_small(dim), bridge["g"] == dim["name"]).groupBy("id").agg(F.array_sort(F.collect_list("name")).alias("l"))
+    return out.select("id", F.size("l").cast("bigint").alias("n"), F.array_join("l", ",").alias("genres"))
+
+
+_DEFAULTS = [("tec", "music"), ("seatengine", "comedy"), ("spotapps", "food"), ("prekindle", "music")]
+
+
+@query(f"SELECT v.id, coalesce(c, 'general') AS category FROM venue_event_sources v LEFT JOIN (VALUES {', '.join(f'{d}' for d in _DEFAULTS)}) d(p, c) ON v.platform_type = d.p")
+def default_categories(spark, root):
+    """A source's category by its platform, and one for the rest: a left join on a small dimension."""
+    dim = spark.createDataFrame(_DEFAULTS, "p string, c string")
+    return R.embed(table(spark, root, "venue_event_sources"), dim, "platform_type", "p", {"c": "c"}).select("id", F.coalesce("c", F.lit("general")).alias("category"))
+
+
+_HITS = "len(list_filter(string_split(regexp_replace(lower(text), '[^a-z0-9]+', ' ', 'g'), ' '), lambda w: w IN ('fiddle', 'waltzes', 'patio')))"
+
+
+@query(f"""WITH w AS (SELECT doc_id AS id, row_number() OVER (ORDER BY {_HITS} DESC, doc_id) AS rank FROM documents WHERE {_HITS} > 0 QUALIFY rank <= 100),
+q AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 0), s AS (SELECT vec_id AS id, round(list_cosine_similarity(list_transform(embedding, lambda x: x::DOUBLE), list_transform(q, lambda x: x::DOUBLE)), 4) AS c FROM embeddings, q),
+v AS (SELECT id, row_number() OVER (ORDER BY c DESC, id) AS rank FROM s QUALIFY rank <= 100), f AS (SELECT id, round(sum(1 / (60 + rank)), 8) AS score FROM (FROM w UNION ALL FROM v) GROUP BY id)
+SELECT id, score, row_number() OVER (ORDER BY score DESC, id) AS rank FROM f QUALIFY rank <= 50""")
+def hybrid_search(spark, root):
+    """Keyword and vector hits of one question as one list: the best 50 of the best 100 of each."""
+    words = F.split(F.regexp_replace(F.lower("text"), "[^a-z0-9]+", " "), " ")
+    hits = table(spark, root, "documents").select(F.col("doc_id").alias("id"), F.size(F.filter(words, lambda w: w.isin("fiddle", "waltzes", "patio"))).alias("hits")).filter("hits > 0")
+    top = hits.orderBy(F.desc("hits"), "id").limit(100)
+    by_word = top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("hits"), "id")))
+    e = table(spark, root, "embeddings")
+    by_vector = search.cosine_top_k(e, e.filter("vec_id = 0"), 100).select(F.col("vec_id").alias("id"), "rank")
+    return search.fused([by_word, by_vector], 50)
+
+
 # --- aggregates, order, sets ------------------------------------------------------------
 @query("""SELECT source_id, bool_or(confidence < 0.3) AS doubtful, max(confidence) AS surest, string_agg(DISTINCT source_partner, ',' ORDER BY source_partner) AS notes FROM partner_event GROUP BY source_id""")
 def merged_verdicts(spark, root):

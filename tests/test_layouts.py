@@ -3,7 +3,8 @@
 import pytest
 from pyspark.sql import functions as F
 
-from showgrain.sources import detect, layouts
+from showgrain.operators import relational
+from showgrain.sources import crawl, detect, layouts, restjson
 
 AGENDA = """<div id="cal"><div class="ai1ec-event ai1ec-event-id-7"><a href="/event/quiet-otter/?instance_id=77">
 <span class="ai1ec-event-title">Quiet &amp; Otter</span></a><div class="ai1ec-event-time">Oct 3 @ 8:00 pm</div>
@@ -92,3 +93,29 @@ def test_detected_platforms(spark):
     ]
     got = spark.createDataFrame(pages, "want string, url string, body string").select("want", detect.platform("url", "body").alias("got")).collect()
     assert [r.got for r in got] == [r.want for r in got]
+
+
+def test_crawl(spark):
+    page = '<a href="/event/one">1</a><a href="/event/two?x=1">2</a><a href="/event/one">again</a><a href="/about">x</a><a class="nav" href="/month/2026-11/"><i class="chevron-right"></i></a>'
+    assert [r.link for r in crawl.event_links(_pages(spark, page)).orderBy("_pos").collect()] == ["https://v.example/event/one", "https://v.example/event/two?x=1"]
+    links = _pages(spark, page, '<link rel="next" href="/p2">', "<p>").orderBy("url").select(crawl.next_link("body").alias("n")).collect()
+    assert [r.n for r in links] == ["/month/2026-11/", "/p2", None]
+    rows = spark.createDataFrame([("s", p, i) for p, n in ((1, 3), (2, 3), (3, 1), (4, 3)) for i in range(n)] + [("t", 1, 0), ("t", 1, 1), ("t", 1, 2)], "site string, page int, i int")
+    assert {(r.site, r.page) for r in crawl.until_short(rows, ["site"], "page", 3).collect()} == {("s", 1), ("s", 2), ("s", 3), ("t", 1)}
+    seen = spark.createDataFrame([("s", 1, "a"), ("s", 2, "a"), ("s", 2, "b"), ("s", 3, "b"), ("s", 4, "c")], "site string, page int, slug string")
+    assert {r.page for r in crawl.while_new(seen, ["site"], "page", "slug").collect()} == {1, 2}
+    held = _pages(spark, '<div data-config="eyJsaW1pdCI6IDIwfQ=="></div>', '<div data-config="AAAA"></div>', "<p>").orderBy("url").select(crawl.embedded_settings("body").alias("c")).collect()
+    assert [r.c for r in held] == ['{"limit": 20}', None, None]
+    media = '<article><a href="/show/7"></a><img src="https://m.example/logo.png"><img src="https://m.example/uploads/a.jpg"></article><li><a href="/show/8"><img src="/b.jpg"></a></li><li><img src="/c.jpg"></li>'
+    assert {tuple(r) for r in crawl.media_map(_pages(spark, media)).collect()} == {("7", "https://m.example/uploads/a.jpg"), ("8", "/b.jpg")}
+
+
+def test_two_lists_of_one_answer(spark):
+    body = '{"upcoming":[{"id":"a","title":"Next","startDate":1790000000000}],"past":[{"id":"b","title":"Last","startDate":1780000000000},{"id":"c","title":""}]}'
+    assert [(r.source_event_id, r.starts_text) for r in restjson.parse(_pages(spark, body, "no json"), "site_json").orderBy("_pos").collect()] == [("a", "1790000000000"), ("b", "1780000000000")]
+
+
+def test_boxes(spark):
+    d = spark.createDataFrame([(1, 30.2, -97.7), (2, 10.0, 179.5), (3, None, None), (4, 10.0, -179.5)], "id int, lat double, lng double")
+    assert {r.id for r in relational.in_box(d, 30, -98, 31, -97).collect()} == {1}
+    assert {r.id for r in relational.in_box(d, 0, 179, 20, -179).collect()} == {2, 4}

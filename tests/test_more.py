@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from showgrain.functions import links as K
 from showgrain.functions import times as X
-from showgrain.operators import sinks, surface
+from showgrain.operators import grammar, sinks, surface
 
 
 def _one(spark, column, **values):
@@ -72,3 +72,23 @@ def test_model_hook_and_table_functions(spark):
     pages = spark.createDataFrame([("u1", "x y"), ("u2", "")], "url string, body string")
     model = lambda bodies: [[{"title": w} for w in b.split()] for b in bodies]
     assert {tuple(r) for r in surface.asked(pages, model, "title string, price string").collect()} == {("x", None, "u1"), ("y", None, "u1")}
+
+
+def test_band_names_by_hand():
+    want = {
+        "SOLD OUT – Ann Lee feat. Bob Ray w/ The Point.": "Ann Lee",
+        "Copper Lantern Album Release Show": "Copper Lantern",
+        "Quiet Otter - The Long Road Tour w/ Mossy Kestrel & Friends": "Quiet Otter",
+        "Quiet Otter: World Tour 2026": "Quiet Otter",
+        "Old Master Tribute: Bob Ray Caravan ft. Cy Poe, Dot Elm & More": "Bob Ray Caravan",
+        "Ann Lee, Bob Ray, Cy Poe & More": "Ann Lee",
+        "Quiet Otter (Ann Lee, Bob": "Quiet Otter",
+        "Quiet Otter & Friends": "Quiet Otter",
+        "[ QUIET OTTER ]": "QUIET OTTER",
+        "An Evening with Ann Lee": "Ann Lee",
+        "Blue Monday w/ Ann Lee & Bob Ray": "Ann Lee",
+        "": "",
+    }
+    assert {t: grammar.band_name(t, None, frozenset(["blue monday"])) for t in want} == want
+    assert grammar.band_name("Ann Lee - The Copper Barn", "Copper Barn") == "Ann Lee"
+    assert grammar.band_name("Ann Lee at Copper Barn", "Copper Barn") == "Ann Lee"
