@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from showgrain.functions.text import mixed_script_fold
-from showgrain.operators.packed import Known, split_values, undecorated
+from showgrain.operators.packed import STATUS, Known, split_values, undecorated
 
 # --- fixed values -----------------------------------------------------------------
 #: Openings that credit an act without naming it.
@@ -38,6 +38,7 @@ def band_name(title: str | None, venue: str | None = None, series: frozenset[str
     if venue:
         v = re.escape(venue.strip())
         t = re.sub(rf"\s*(?:[-–—|]|\bat\b|@)\s*(?:the\s+)?{v}\s*$", "", t, flags=re.I)
+    t = re.sub(rf"^(?:{STATUS})\s*[–—:!-]\s*", "", t, flags=re.I)
     # a line-up in brackets that was cut off with its closing bracket
     t = re.sub(r"^(.{3,}?)\s*\([A-Z][^)]*$", r"\1", t)
     t = re.sub(r"^.+\stribute\s*:\s*(?=\S)", "", t, flags=re.I)
