@@ -14,6 +14,9 @@ import re
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,6 +25,8 @@ from pyspark.sql import functions as F
 SMALL_SIDE_ROWS = 50_000
 
 _own_folder: str | None = None
+#: Folders that the running piece of work leaves behind, where it wants them removed.
+_passing: ContextVar[list[str] | None] = ContextVar("passing", default=None)
 
 
 def build(app: str = "showgrain", cpus: str | int = "*", shuffle: int = 8, memory: str = "8g") -> SparkSession:
@@ -71,10 +76,25 @@ def written(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back: lineage ends here."""
     spark = df.sparkSession
     path = new_folder(spark, label)
+    if (held := _passing.get()) is not None:
+        held.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession) -> Iterator[None]:
+    """Tables that ``written`` makes within are removed at the end: for work whose results are stored elsewhere."""
+    token = _passing.set([])
+    try:
+        yield
+    finally:
+        for path in _passing.get():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        _passing.reset(token)
+
+
 def broadcast_if_small(df: DataFrame, bound: int = SMALL_SIDE_ROWS, rows: int | None = None) -> DataFrame:
     """``df`` marked for broadcast when a count proves at most ``bound`` rows, else as it is.
 

@@ -311,6 +311,18 @@ def test_a_cluster_without_a_shared_folder_is_refused(spark):
         shared_folder(far)
 
 
+def test_passing_tables_are_removed(spark):
+    from pathlib import Path
+
+    from showgrain.session import passing_tables, shared_folder, written
+
+    root = Path(shared_folder(spark).removeprefix("file://"))
+    kept = written(spark.range(3), "kept-table")
+    with passing_tables(spark):
+        assert written(spark.range(4), "passing-table").count() == 4
+    assert kept.count() == 3 and list(root.glob("kept-table-*")) and not list(root.glob("passing-table-*"))
+
+
 def test_large_inputs_are_not_shuffled_for_spreading(spark, tmp_path):
     from showgrain.session import spread
 
