@@ -48,7 +48,7 @@ from pyspark.sql import types as T
 from showgrain.functions.frames import frame
 from showgrain.llm import shows
 from showgrain.operators.components import components
-from showgrain.session import broadcast_if_small, new_folder, written
+from showgrain.session import broadcast_if_small, new_folder, passing_tables, written
 
 CLOSE_S = 75 * 60
 MOVED_S = 5 * 86400 + 2 * 3600
@@ -351,6 +351,19 @@ class History:
         part = f"b{self.version + 1:08d}" if batch_id is None else f"id-{batch_id}"
         if part in self.done:
             return
+        # what is made on the way is removed: results stand in the history's own folder
+        before = self.version, dict(self.counts), self.weights, list(self.parts)
+        try:
+            with passing_tables(self.spark):
+                self._add(records, part)
+        except Exception:
+            self.version, self.counts, self.weights, self.parts = before
+            raise
+        self.done.append(part)
+        self.parts.append(part)
+        self._save()
+
+    def _add(self, records: DataFrame, part: str) -> None:
         signed(records).write.mode("overwrite").parquet(f"{self.path}/members/batch={part}")
         rows = self._read("members", MEMBERS, (part,)).filter(F.col("batch") == part)
         pool = self._pool(rows)
@@ -361,9 +374,6 @@ class History:
         if links is not None:
             self._unite(pool, links, part)
         self._place_undated(rows, new, part)
-        self.done.append(part)
-        self.parts.append(part)
-        self._save()
 
     def _pool(self, rows: DataFrame) -> DataFrame:
         """New nodes and the held ones that stand under a key of theirs; ``is_new`` tells them apart."""
@@ -471,7 +481,10 @@ class History:
 
     def compact(self) -> None:
         """Rewrite the tables as one part: one row for each node, its mapping followed to the end."""
-        part = f"c{self.version + 1:08d}"
+        with passing_tables(self.spark):
+            self._compact(f"c{self.version + 1:08d}")
+
+    def _compact(self, part: str) -> None:
         nodes = self._read("nodes", NODES)
         root = self.roots(nodes.select("sig", "era", "bucket"))
         flat = root.filter("sig <> root").join(nodes.select("sig", "era", "bucket"), "sig")
