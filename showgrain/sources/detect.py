@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from showgrain.functions.columns import no_value
 
-#: Platform and the signs of it in an address or page, in order (fixed values).
+#: Platform and the signs of it in an address or page, in order (fixed values). Signs that must stand together are looked for from the start of the text only.
 SIGNS = [
     ("ical", r"\.ics(\?|$|\n)|webcal:|text/calendar|begin:vcalendar"),
     ("google_calendar", r"calendar\.google\.com|google\.com/calendar"),
@@ -17,16 +17,16 @@ SIGNS = [
     ("event_discovery", r"event-discovery|get_events_for_calendar"),
     ("seatengine", r"seatengine\.com|id=[\"']se-calendar[\"']"),
     ("ace_calendar", r"ace-calendar\.js|ace-api/events|ace-cal-list-|calendarkeyword"),
-    ("squarespace_events", r"(?s)(?=.*(squarespace|sqspcdn))(?=.*(eventlist-event|eventlist-title))"),
-    ("squarespace_user_items", r"(?s)(?=.*user-items-list)(?=.*list-item-content__(title|button))"),
+    ("squarespace_events", r"(?s)\A(?=.*(squarespace|sqspcdn))(?=.*(eventlist-event|eventlist-title))"),
+    ("squarespace_user_items", r"(?s)\A(?=.*user-items-list)(?=.*list-item-content__(title|button))"),
     ("zoogle", r"zoogletools\.com|data-occurrence-id|calendar_feature_"),
-    ("columns", r"(?s)(?=.*event-column d-flex)(?=.*event-tag)(?=.*event-date)"),
-    ("media_cards", r"(?s)(?=.*upcoming-shows)(?=.*card events)(?=.*media-left)"),
+    ("columns", r"(?s)\A(?=.*event-column d-flex)(?=.*event-tag)(?=.*event-date)"),
+    ("media_cards", r"(?s)\A(?=.*upcoming-shows)(?=.*card events)(?=.*media-left)"),
     ("livenation", r"livenation|ticketmaster\.com"),
-    ("webflow", r"(?s)(?=.*(website-files\.com|webflow))(?=.*/events/)"),
+    ("webflow", r"(?s)\A(?=.*(website-files\.com|webflow))(?=.*/events/)"),
     ("spacecrafted", r"spacecrafted\.com|eventcoll-item|itemscollectioncontent"),
-    ("spotapps", r"(?s)(?=.*event-calendar-card)(?=.*(pinboardagendacontainer|data-event-start-date|events-pinboard-view))|(?=.*static\.spotapps\.co)(?=.*(event-image|events-holder|atc_date_start|event-calendar-card))|(?=.*events-holder)(?=.*event-time)(?=.*atc_date_start)"),
-    ("events_manager", r"(?s)em-cal-body|em-cal-days|event_notes|events-manager/v1|(?=.*event_name)(?=.*event_date)(?=.*event_id=)"),
+    ("spotapps", r"(?s)\A(?=.*event-calendar-card)(?=.*(pinboardagendacontainer|data-event-start-date|events-pinboard-view))|\A(?=.*static\.spotapps\.co)(?=.*(event-image|events-holder|atc_date_start|event-calendar-card))|\A(?=.*events-holder)(?=.*event-time)(?=.*atc_date_start)"),
+    ("events_manager", r"(?s)em-cal-body|em-cal-days|event_notes|events-manager/v1|\A(?=.*event_name)(?=.*event_date)(?=.*event_id=)"),
     ("mec", r"/all-events/|modern-events-calendar|mec-calendar|cat_ids~"),
     ("prekindle", r"prekindle\.com/api/events/organizer/|pk-cal-widget|pk-cal-loader|data-org-id"),
     ("tec", r"tribe-events|the-events-calendar|tec-events|tribe_events|/events/month/"),
